@@ -2,6 +2,30 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+
+from plumbline.plans import analytics, bias
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Every core query; each takes a session and a folder of tables."""
+    return {
+        "q01_daily_users": analytics.daily_users,
+        "q02_model_text_lengths": analytics.model_text_lengths,
+        "q03_session_funnel": analytics.session_funnel,
+        "q04_golden_check": analytics.golden_check,
+        "q05_target_by_category": analytics.target_by_category,
+        "q06_target_by_query": analytics.target_by_query,
+        "q07_winrate_matrix": analytics.winrate_matrix,
+        "q08_ipw_winrates": analytics.ipw_winrates,
+        "q09_bias_battery": bias.bias_battery,
+        "q09a_session_filters": bias.session_filter_counts,
+        "q10_answer_times": analytics.answer_time_distribution,
+        "q11_user_quality": analytics.user_quality,
+        "q12a_user_behaviour": analytics.user_behaviour,
+        "q12b_golden_questions": analytics.golden_questions,
+        "q12c_golden_details": analytics.golden_details,
+        "b14_user_verdicts": analytics.user_verdicts,
+    }
