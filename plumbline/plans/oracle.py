@@ -323,6 +323,48 @@ golden AS (
 )"""
 
 
+POOL = """
+pool AS (
+  SELECT query_id, game_name, raw_query, coalesce(lower(trim(category)), 'unclassified') AS category
+  FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY dm DESC) AS place FROM query_item) WHERE place = 1
+)"""
+
+INVALID = """(length(trim(coalesce(raw_query, ''))) <= 5
+  OR length(regexp_replace(trim(coalesce(raw_query, '')), '[^\\p{L}\\p{N}]', '', 'g')) / greatest(length(trim(coalesce(raw_query, ''))), 1)::DOUBLE < 0.3)"""
+
+GROUPS = """
+links AS (
+  SELECT query_id_a AS a, query_id_b AS b FROM query_match WHERE is_match = 1 AND query_id_a <> query_id_b
+  UNION SELECT query_id_b, query_id_a FROM query_match WHERE is_match = 1 AND query_id_a <> query_id_b
+),
+reached(id, other) AS (
+  SELECT a, a FROM links UNION SELECT reached.id, links.b FROM reached JOIN links ON reached.other = links.a
+),
+grouped AS (SELECT id, min(other) AS component FROM reached GROUP BY id)"""
+
+MARKED = f"""{GROUPS},{POOL},
+marked AS (
+  SELECT p.*, coalesce(first_value(query_id) OVER (PARTITION BY coalesce(component, -query_id) ORDER BY length(coalesce(raw_query, '')) DESC, query_id), query_id) AS canonical_id
+  FROM pool p LEFT JOIN grouped ON id = query_id
+),
+told AS (SELECT *, CASE WHEN canonical_id = query_id THEN 'relevant' ELSE 'duplicate' END AS status FROM marked)"""
+
+CANDIDATES = f"""{MARKED},
+candidates AS (
+  SELECT *, row_number() OVER (PARTITION BY category ORDER BY total_score DESC, query_id) AS represent_rank
+  FROM (SELECT *, round(0.3::DOUBLE * ((query_id * 7) % 101) + 0.3::DOUBLE * ((query_id * 11) % 101) + 0.4::DOUBLE * ((query_id * 13) % 101), 4) AS total_score
+        FROM told WHERE status = 'relevant' AND NOT {INVALID})
+),
+counts AS (SELECT category, count(*) AS queries FROM candidates GROUP BY category),
+exact AS (SELECT *, round(queries * 60.0::DOUBLE / sum(queries) OVER (), 9) AS x FROM counts),
+seats AS (
+  SELECT category, queries, (floor(x) + (row_number() OVER (ORDER BY x - floor(x) DESC, category) <= 60 - sum(floor(x)) OVER ())::INT)::BIGINT AS quota FROM exact
+)"""
+
+CLEAN_ANSWERS = """
+said AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY answer_id ORDER BY generated_at DESC) AS place FROM llm_answer) WHERE place = 1)"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL by query name."""
     return {
@@ -374,4 +416,51 @@ def oracle_sql() -> dict[str, str]:
             SELECT user_id, golden_scored, golden_accuracy, fast_rate, CASE
               WHEN golden_scored >= 3 AND golden_accuracy < 0.6 AND fast_rate > 0.3 THEN 'inaccurate_and_fast' WHEN golden_scored >= 3 AND golden_accuracy < 0.6 THEN 'inaccurate'
               WHEN fast_rate > 0.3 THEN 'fast' ELSE 'good' END AS verdict FROM rated""",
+        "b08_game_balance": f"""WITH {MATRIX}, totals AS (SELECT game_id, sum(total_matches)::BIGINT AS matches FROM matrix WHERE game_id <> 'all' GROUP BY game_id)
+            SELECT game_id, matches, round(max(matches) OVER () / matches::DOUBLE, 6) AS factor, round(max(matches) OVER (), 3)::DOUBLE AS balanced_matches FROM totals""",
+        "b09_winrate_differences": f"""WITH {MATRIX}, rows AS ({MATRIX_ROWS})
+            SELECT game_id, eval_dim_key, row_model, col_model, total_matches, round(stratified_winrate - raw_winrate, 6) AS diff, round(abs(stratified_winrate - raw_winrate), 6) AS abs_diff FROM rows""",
+        "b09_difference_summary": f"""WITH {MATRIX}, rows AS ({MATRIX_ROWS}), d AS (SELECT round(abs(stratified_winrate - raw_winrate), 6) AS x FROM rows)
+            SELECT count(x) AS count, round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS std, min(x) AS min, round(quantile_cont(x, 0.25), 6) AS p25, round(quantile_cont(x, 0.5), 6) AS p50,
+              round(quantile_cont(x, 0.75), 6) AS p75, max(x) AS max FROM d""",
+        "b10_matrix_labels": f"""WITH {MATRIX}, rows AS ({MATRIX_ROWS})
+            SELECT eval_dim_key, row_model, col_model, printf('%d.%02d%% (n=%d)', c // 100, c % 100, total_matches) AS label
+            FROM (SELECT *, (round(stratified_winrate * 1e6)::BIGINT + 50) // 100 AS c FROM rows WHERE game_id = 'all')""",
+        "b11_dimension_shares": f"""WITH {MATRIX}, rows AS ({MATRIX_ROWS}),
+            p AS (SELECT game_id, row_model AS model, eval_dim_key, sum(raw_winrate * total_matches) AS x FROM rows WHERE game_id <> 'all' GROUP BY ALL)
+            SELECT game_id, model, {", ".join(f"round(coalesce(100 * sum(x) FILTER (WHERE eval_dim_key = '{d}') / nullif(sum(x), 0), 0), 2) AS {d}" for d in DIMENSIONS)} FROM p GROUP BY game_id, model""",
+        "g02_exact_dedup": f"""WITH {POOL} SELECT query_id, raw_query FROM pool WHERE raw_query IS NULL
+            UNION ALL SELECT min(query_id), raw_query FROM pool WHERE raw_query IS NOT NULL GROUP BY raw_query""",
+        "g02_folded_dedup": f"""WITH {POOL}, f AS (SELECT *, trim(regexp_replace(regexp_replace(lower(raw_query), '[\\p{{P}}\\p{{S}}]', '', 'g'), '\\s+', ' ', 'g'), ' ') AS body FROM pool)
+            SELECT query_id, raw_query FROM f WHERE body IS NULL OR query_id = (SELECT min(query_id) FROM f g WHERE g.body = f.body)""",
+        "g03_invalid_queries": f"WITH {POOL} SELECT query_id, raw_query FROM pool WHERE {INVALID}",
+        "g06_neighbours": """SELECT query_id, neighbour_id, round(s, 4) AS similarity, place FROM (
+              SELECT a.vec_id AS query_id, b.vec_id AS neighbour_id, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS s,
+                row_number() OVER (PARTITION BY a.vec_id ORDER BY list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) DESC, b.vec_id) AS place
+              FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0) WHERE place <= 10""",
+        "g08_duplicate_groups": f"WITH RECURSIVE {GROUPS} SELECT id, component FROM grouped",
+        "g10_marked_duplicates": f"WITH RECURSIVE {MARKED} SELECT query_id, canonical_id, status FROM told",
+        "g12_scores": f"WITH RECURSIVE {CANDIDATES} SELECT query_id, category, total_score, represent_rank FROM candidates",
+        "g13_quotas": f"WITH RECURSIVE {CANDIDATES} SELECT category, queries, quota FROM seats",
+        "g16_selection": f"""WITH RECURSIVE {CANDIDATES},
+            tagged AS (SELECT query_id, category, represent_rank, represent_rank <= quota AS quota_met FROM candidates JOIN seats USING (category)),
+            placed AS (SELECT *, row_number() OVER (ORDER BY quota_met DESC, represent_rank, category, query_id) AS p FROM tagged)
+            SELECT query_id, category, represent_rank, CASE WHEN quota_met THEN 'category_quota' ELSE 'top_up' END AS reason FROM placed WHERE p <= 60""",
+        "g21_run_summary": f"""WITH RECURSIVE {MARKED},
+            o AS (SELECT category, CASE WHEN status = 'duplicate' THEN 'duplicate' WHEN {INVALID} THEN 'irrelevant' ELSE 'relevant' END AS outcome FROM told)
+            SELECT outcome, count(*) AS queries, count(DISTINCT category) AS categories, round(count(*) / (SELECT count(*) FROM o)::DOUBLE, 6) AS share FROM o GROUP BY outcome""",
+        "c09_latest_sets": """SELECT game_id, set_id, dm, strftime(last_day((dm || '-01')::DATE), '%Y-%m-%d') AS month_end FROM (
+              SELECT *, row_number() OVER (PARTITION BY game_id ORDER BY dm DESC, set_id DESC) AS p FROM query_item WHERE set_id IS NOT NULL) WHERE p = 1""",
+        "c11_answer_statistics": f"""WITH {CLEAN_ANSWERS},
+            u AS (SELECT *, trim(coalesce(answer_content, '')) AS t,
+              regexp_replace(regexp_replace(regexp_replace(lower(trim(coalesce(answer_content, ''), ' ')), '(?s)```.*?```', ' ', 'g'), '\\[\\d+\\]', ' ', 'g'), '(?m)^#+.*$', ' ', 'g') AS body FROM said),
+            v AS (SELECT *, NOT (lower(trim(coalesce(answer_content, ''), ' ')) IN ('', 'nan', 'none', 'null', 'n/a', '<na>')) AND
+              len(regexp_extract_all(body, '[A-Za-z0-9]+')) + len(regexp_extract_all(body, '[\\x{{4e00}}-\\x{{9fff}}]')) >= 5 AS good FROM u)
+            SELECT model_name, count(*) AS answers, count(*) FILTER (WHERE good) AS succeeded, count(*) FILTER (WHERE NOT good) AS empty,
+              sum(floor(len(regexp_extract_all(answer_content, '[\\x{{4e00}}-\\x{{9fff}}]')) / 1.5::DOUBLE +
+                (length(answer_content) - len(regexp_extract_all(answer_content, '[\\x{{4e00}}-\\x{{9fff}}]'))) / 4.0::DOUBLE))::BIGINT AS tokens
+            FROM v GROUP BY model_name""",
+        "f11_answer_truths": f"""WITH {CLEAN_ANSWERS}, w AS (
+              SELECT answer_id, query_id, CASE WHEN json_valid(generation_metadata) THEN lower(trim(generation_metadata ->> '$.correct')) END AS word FROM said)
+            SELECT answer_id, query_id, (word IN ('true', '1', 't', 'yes', 'y'))::INT AS correct FROM w WHERE word IN ('true', '1', 't', 'yes', 'y', 'false', '0', 'f', 'no', 'n')""",
     }

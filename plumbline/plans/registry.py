@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.plans import analytics, bias
+from plumbline.plans import analytics, bias, collecting, evalset, ranking
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -27,5 +27,37 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q12a_user_behaviour": analytics.user_behaviour,
         "q12b_golden_questions": analytics.golden_questions,
         "q12c_golden_details": analytics.golden_details,
+        "b05_bt_report": ranking.bt_report,
+        "b08_game_balance": ranking.game_balance,
+        "b08_balanced_ranking": ranking.balanced_ranking,
+        "b09_winrate_differences": ranking.winrate_differences,
+        "b09_difference_summary": ranking.difference_summary,
+        "b09_top_differences": ranking.top_differences,
+        "b10_matrix_labels": ranking.matrix_labels,
+        "b10_matrix_wide": ranking.matrix_wide,
+        "b11_dimension_shares": ranking.dimension_shares,
+        "b12_rank_by_dimension": ranking.rank_by_dimension,
+        "b13_bootstrap": ranking.bootstrap,
         "b14_user_verdicts": analytics.user_verdicts,
+        "g02_exact_dedup": evalset.deduplicated,
+        "g02_folded_dedup": evalset.deduplicated_folded,
+        "g03_invalid_queries": evalset.invalid_queries,
+        "g06_neighbours": evalset.vector_neighbours,
+        "g08_duplicate_groups": evalset.duplicate_groups,
+        "g10_marked_duplicates": evalset.marked_duplicates,
+        "g12_scores": evalset.scores,
+        "g13_quotas": evalset.quotas,
+        "g16_selection": evalset.selection,
+        "g17_sliced_selection": evalset.sliced_selection,
+        "g18_selection_details": evalset.selection_details,
+        "g19_replaced_selection": evalset.replaced_selection,
+        "g21_run_summary": evalset.run_summary,
+        "c01_collection_run": collecting.collection_run,
+        "c04_cleaned_answers": collecting.cleaned_answers,
+        "c07_wide_answers": collecting.wide_answers,
+        "c09_latest_sets": collecting.latest_sets,
+        "c11_answer_statistics": collecting.answer_statistics,
+        "c13_golden_items": collecting.golden_items,
+        "f11_answer_truths": collecting.answer_truths,
+        "f13_text_measures": collecting.text_measures,
     }
