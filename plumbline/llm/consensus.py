@@ -54,7 +54,7 @@ def consensus(
 
     Rows with a NULL annotator or label don't count; NULL is a value like any other in an item column.
     Repeated votes of an annotator on an item all count. Ties of posteriors go to the first label in
-    sorted order. No votes give empty results. More than ``max_labels`` labels are refused, as the
+    sorted order. No votes give no items and annotators, and an agreement of NULLs. More than ``max_labels`` labels are refused, as the
     matrices grow with their square."""
     spark = votes.sparkSession
     scratch = Scratch(spark, "consensus")
@@ -134,7 +134,7 @@ def _sums(who: np.ndarray, named: np.ndarray, weight: np.ndarray, k: int, people
 def _rows(sums: np.ndarray) -> pa.RecordBatch:
     """Sums of the annotators seen, one row each."""
     seen = np.flatnonzero(sums.any((1, 2)))
-    flat = sums[seen].reshape(len(seen), -1)
+    flat = sums[seen].reshape(len(seen), sums.shape[1] * sums.shape[2])
     columns = [pa.array(seen.astype(np.int32))] + [pa.array(np.ascontiguousarray(c)) for c in flat.T]
     return pa.RecordBatch.from_arrays(columns, names=["who", *(f"s{i}" for i in range(flat.shape[1]))])
 

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 MARKUP = re.compile(r"<[^<>]{0,200}>|&(?:[a-zA-Z]{2,10}|#x?[0-9a-fA-F]{1,6});")
 INVISIBLE = re.compile("[­​-‏⁠﻿]")
@@ -135,6 +136,18 @@ def search(block: Block, texts: list[str | None]) -> list[tuple[int, int, int, i
     return [(int(d), int(i), *map(int, v)) for (d, i), v in best.items()]
 
 
+def segments(texts: list[str | None], most: int = 4_000_000) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbouring texts of about ``most`` characters together, so that long texts don't add up."""
+    start, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t or "")
+        if size >= most:
+            yield start, i + 1
+            start, size = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
+
+
 def leaked_passages(
     documents: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, item_text: str, shared: int = 3, block_items: int = 5_000
 ) -> DataFrame:
@@ -154,6 +167,7 @@ def leaked_passages(
     size = listed.count()
     kinds = f"`{doc_id}` {documents.schema[doc_id].dataType.simpleString()}, `{item_id}` {items.schema[item_id].dataType.simpleString()}"
     schema = f"{kinds}, length int, changed int, start int, kind string"
+    item_type = to_arrow_type(items.schema[item_id].dataType)
     rows = documents.select(doc_id, text).where(F.col(text).isNotNull())
     found = None
     for k in range(max(1, -(-size // block_items))):
@@ -165,14 +179,15 @@ def leaked_passages(
             block = shipped.value
             for batch in batches:
                 ids, texts = batch.column(0), batch.column(1).to_pylist()
-                hits = search(block, texts)
-                kinds_of = ["exact" if not h[3] else "near" for h in hits]
-                yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array([h[0] for h in hits], pa.int64())), pa.array([block.ids[h[1]] for h in hits], pa.int64() if not hits else None)]
-                    + [pa.array([h[c] for h in hits], pa.int32()) for c in (2, 3, 4)]
-                    + [pa.array(kinds_of, pa.string())],
-                    names=[doc_id, item_id, "length", "changed", "start", "kind"],
-                )
+                for a, b in segments(texts):
+                    hits = search(block, texts[a:b])
+                    kinds_of = ["exact" if not h[3] else "near" for h in hits]
+                    yield pa.RecordBatch.from_arrays(
+                        [ids.take(pa.array([a + h[0] for h in hits], pa.int64())), pa.array([block.ids[h[1]] for h in hits], item_type)]
+                        + [pa.array([h[c] for h in hits], pa.int32()) for c in (2, 3, 4)]
+                        + [pa.array(kinds_of, pa.string())],
+                        names=[doc_id, item_id, "length", "changed", "start", "kind"],
+                    )
 
         hits = rows.mapInArrow(seek, schema)
         found = hits if found is None else found.unionByName(hits)

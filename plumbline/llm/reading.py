@@ -24,6 +24,8 @@ MARKUP = re.compile(r"<[^<>]{0,200}>|&\w{2,10};")
 QUANTILES = (0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95)
 LEAST_WORDS = 5
 FOLDS = 5
+#: Words of the training sample that the driver and executors hold at most.
+MOST_WORDS = 2_000_000
 
 
 def words(text: str) -> list[str]:
@@ -75,7 +77,11 @@ def fit_reading(documents: DataFrame, doc_id: str, text: str, labels: DataFrame,
     A document's grade is the rounded median of its labels. Of more than ``max_labelled`` labelled
     documents, those with the smallest seeded hashes of their ids are used, a documented bound of
     the training sample. A word needs ``least`` graded documents. Labels of documents that don't exist,
-    NULL grades and texts without words don't count; at least two grades must remain."""
+    NULL grades and texts without words don't count. With fewer than two grades left nothing can be told
+    apart: the model then knows no words, and no document gets a grade.
+
+    Words are counted over the whole sample by a distributed aggregation; one row per word comes to the
+    driver, at most MOST_WORDS, and one description per labelled document."""
     spark = documents.sparkSession
     scratch = Scratch(spark, "reading")
     graded = labels.where(F.col(grade).isNotNull()).groupBy(doc_id).agg(F.floor(F.median(grade) + 0.5).cast("int").alias("grade"))
@@ -90,50 +96,62 @@ def fit_reading(documents: DataFrame, doc_id: str, text: str, labels: DataFrame,
 
     kind = documents.schema[doc_id].dataType.simpleString()
     split = scratch.save(known.mapInArrow(occurrences, f"doc {kind}, grade int, fold int, words array<string>"))
-    rows = split.toPandas()  # at most max_labelled documents
-    rows = rows[rows["words"].map(len) >= LEAST_WORDS].sort_values("doc", ignore_index=True)
-    grades = sorted(int(g) for g in rows["grade"].unique())
+    split = split.where(F.size("words") >= LEAST_WORDS)
+    sizes = split.groupBy("fold", "grade").agg(F.count("*").alias("n")).collect()  # a row per fold and grade
+    grades = sorted({r["grade"] for r in sizes})
     if len(grades) < 2:
-        raise ValueError("documents of at least two grades must be labelled")
-    place = rows["grade"].map(grades.index).to_numpy()
-    fold = rows["fold"].to_numpy()
-    # Word counts of the bounded sample: documents with the word, by fold and grade.
-    at = np.repeat(np.arange(len(rows)), rows["words"].map(len))
-    code, vocabulary = pd.factorize(np.concatenate(rows["words"].to_numpy()))
-    seen = np.unique(np.stack([at, code]), axis=1)
-    cells = (seen[1] * FOLDS + fold[seen[0]]) * len(grades) + place[seen[0]]
-    counts = np.bincount(cells, minlength=len(vocabulary) * FOLDS * len(grades)).reshape(len(vocabulary), FOLDS, len(grades)).astype(float)
-    of_grade = np.array([[((fold == f) & (place == g)).sum() for g in range(len(grades))] for f in range(FOLDS)], float)
+        return ReadingModel(spark.createDataFrame([], "word string, grade double"), grades, np.zeros(0), np.ones(0), np.zeros((1, len(grades))))
+    place = {g: i for i, g in enumerate(grades)}
+    of_grade = np.zeros((FOLDS, len(grades)))
+    for r in sizes:
+        of_grade[r["fold"], place[r["grade"]]] = r["n"]
+    # Documents with the word, by word, fold and grade: one row per word that enough documents hold.
+    cells = [(f, g) for f in range(FOLDS) for g in grades]
+    columns = [F.sum(F.when((F.col("fold") == f) & (F.col("grade") == g), 1).otherwise(0)).alias(f"n{i}") for i, (f, g) in enumerate(cells)]
+    each = split.select("fold", "grade", F.explode(F.array_distinct("words")).alias("word"))
+    table = each.groupBy("word").agg(F.count("*").alias("n"), *columns).where(F.col("n") >= least)
+    table = scratch.save(table)
+    if table.count() > MOST_WORDS:
+        raise ValueError(f"more than {MOST_WORDS} words in the training sample; lower max_labelled or raise least")
+    seen = table.orderBy("word").toPandas()
+    counts = seen[[f"n{i}" for i in range(len(cells))]].to_numpy(float).reshape(len(seen), FOLDS, len(grades))
 
     def acquired(count: np.ndarray, size: np.ndarray) -> np.ndarray:
         share = count / np.maximum(size, 1)
         total = share.sum(1)
         return np.where(count.sum(1) >= least, share @ np.array(grades, float) / np.where(total > 0, total, 1), np.nan)
 
-    described, truth = [], []
-    for f in range(FOLDS):
-        without = acquired(counts.sum(1) - counts[:, f], of_grade.sum(0) - of_grade[f])
-        for i in np.flatnonzero(fold == f):
-            x = without[code[np.searchsorted(at, i) : np.searchsorted(at, i, "right")]]
-            x = x[~np.isnan(x)]
-            if len(x) >= LEAST_WORDS:
-                described.append(describe(x))
-                truth.append(place[i])
-    centre, scale, weights = _softmax_fit(np.array(described), np.array(truth), len(grades))
-    final = acquired(counts.sum(1), of_grade.sum(0))
-    table = pd.DataFrame({"word": vocabulary, "grade": final})[~np.isnan(final)]
-    return ReadingModel(spark.createDataFrame(table, "word string, grade double"), grades, centre, scale, weights)
-
-
-def reading_grades(documents: DataFrame, doc_id: str, text: str, model: ReadingModel, least_share: float = 0.3, max_words: int = 5_000_000) -> DataFrame:
+    without = np.stack([acquired(counts.sum(1) - counts[:, f], of_grade.sum(0) - of_grade[f]) for f in range(FOLDS)], 1)
+    shipped = spark.sparkContext.broadcast((dict(zip(seen["word"], range(len(seen)))), without))
+
+    def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, by_fold = shipped.value
+        for batch in batches:
+            rows, truth = [], []
+            for ws, f, g in zip(batch.column("words").to_pylist(), batch.column("fold").to_pylist(), batch.column("grade").to_pylist()):
+                x = by_fold[[index[w] for w in ws if w in index], f]
+                x = x[~np.isnan(x)]
+                if len(x) >= LEAST_WORDS:
+                    rows.append(describe(x).tolist())
+                    truth.append(g)
+            yield pa.RecordBatch.from_arrays([pa.array(truth, pa.int32()), pa.array(rows, pa.list_(pa.float64()))], names=["grade", "x"])
+
+    sample = split.select("fold", "grade", "words").mapInArrow(described, "grade int, x array<double>").toPandas()
+    sample = sample.iloc[np.lexsort(np.array(sample["x"].tolist()).T)] if len(sample) else sample
+    if sample["grade"].nunique() < 2:
+        return ReadingModel(spark.createDataFrame([], "word string, grade double"), grades, np.zeros(0), np.ones(0), np.zeros((1, len(grades))))
+    centre, scale, weights = _softmax_fit(np.array(sample["x"].tolist()), sample["grade"].map(place).to_numpy(), len(grades))
+    known_words = pd.DataFrame({"word": seen["word"], "grade": acquired(counts.sum(1), of_grade.sum(0))})
+    return ReadingModel(spark.createDataFrame(known_words, "word string, grade double"), grades, centre, scale, weights)
+
+
+def reading_grades(documents: DataFrame, doc_id: str, text: str, model: ReadingModel, least_share: float = 0.3) -> DataFrame:
     """(doc_id, grade, known_share, median_word_grade): one row per document; grade is NULL for texts of fewer
     than LEAST_WORDS known words or less than ``least_share`` known ones. Texts are read whole.
 
-    The known words are broadcast; their number is that of the bounded training sample and is checked."""
+    The known words are broadcast; the model holds at most MOST_WORDS."""
     spark = documents.sparkSession
     table = model.words.toPandas()
-    if len(table) > max_words:
-        raise ValueError(f"{len(table)} known words; at most {max_words} are broadcast")
     bare = replace(model, words=None)  # a DataFrame can't be shipped
     shipped = spark.sparkContext.broadcast((dict(zip(table["word"], table["grade"])), bare))
 
