@@ -157,6 +157,10 @@ def _packed(spark, scratch, rows, people, keys, labels, iterations, tolerance, s
         hot_votes = scratch.save(coded.join(F.broadcast(ids), same).select("item", "who", "named"))
         cold = coded.join(F.broadcast(ids), same, "left_anti")
     packed = scratch.save(cold.groupBy(*keys).agg(F.collect_list(F.col("who").cast("bigint") * k + F.col("named")).alias("votes")))
+    # A task hands on one row per annotator it met, so it should see several votes of each.
+    n_votes = people.agg(F.sum("n")).first()[0] or 0
+    tasks = max(min(spark.sparkContext.defaultParallelism, n_votes // 200_000), min(n_votes // (8 * max(size, 1)), n_votes // 2_000_000), 1)
+    packed = packed.coalesce(tasks)
     n_hot = len(hot_keys)
     schema = "who int, " + ", ".join(f"s{i} double" for i in range(k * k))
 
