@@ -25,8 +25,8 @@ TYPES = ("empty", "copied_question", "refusal", "wrong_language", "truncated")
 # Word lists and phrases of four languages.
 PLACEHOLDERS = ("null", "none", "nan", "na", "nil", "undefined", "noanswer", "todo", "tbd", "placeholder", "emptyresponse", "blank", "无", "空", "暂无", "keineantwort", "sinrespuesta", "nulo")
 FUNCTION_WORDS = {
-    "en": "the|and|of|to|is|are|in|it|for|with|that|this|you|your|from|at|on|by|about|after|before|how|what|which|where|when|do|does|can|my|i|if|or|than|as|be|so|not|near|behind|yes|no|up|only|every|one|will|there|were|was|them|they|keep|days|costs|need|should|materials|location|tips|route",
-    "de": "der|die|das|den|dem|des|und|ist|sind|ein|eine|einen|einem|einer|nicht|mit|von|für|auf|im|in|zu|zum|zur|nach|bei|am|an|aus|wie|was|wo|wer|welche|welcher|welches|wenn|weil|denn|ich|du|es|sich|mein|meine|ab|ja|nein|etwa|tage|danach|bis|oder|als|auch|nur|alle|so|kaum|hilft|gegen|warum|stufe|kann|dann|davor|unter",
+    "en": "the|and|of|to|is|are|in|it|for|with|that|this|you|your|from|at|on|by|about|after|before|how|what|which|where|when|do|does|can|my|i|if|or|than|as|be|so|not|near|behind|yes|no|up|only|every|one|will|there|were|them|they|keep|days|costs|need|should|materials|location|tips|route",
+    "de": "der|die|das|den|dem|des|und|ist|sind|ein|eine|einen|einem|einer|nicht|mit|von|für|auf|im|in|zu|zum|zur|nach|bei|am|an|aus|wie|was|wo|wer|welche|welcher|welches|wenn|weil|denn|ich|du|es|sich|mein|meine|ab|ja|nein|etwa|tage|danach|bis|oder|als|auch|nur|alle|so|kaum|hilft|gegen|warum|stufe|kann|dann|davor|unter|mich|trotz|tun",
     "es": "el|la|los|las|un|una|unos|unas|y|de|del|que|es|son|en|con|por|para|se|no|sí|si|al|su|tu|mi|como|cómo|qué|cuál|dónde|cuando|cuándo|porque|desde|tras|hasta|más|menos|lo|le|les|nos|pero|esta|este|esto|días|nivel|rango|sin|sobre|a|o|cada|solo|contra|junto|sirve|después|antes|cuesta",
 }
 REFUSALS = (
@@ -110,7 +110,7 @@ def bare(text: str) -> str:
 def language(text: str) -> str | None:
     """'zh', 'en', 'de' or 'es', or None where neither the script nor function words tell; quoted parts,
     which may stand in any language, are left out."""
-    plain = without_markup(text).lower()
+    plain = without_markup(text).translate(WIDTH).lower()
     words = WORD.findall(QUOTED.sub(" ", plain)) or WORD.findall(plain)
     size = sum(map(len, words))
     wide = sum("㐀" <= c <= "鿿" or "豈" <= c <= "﫿" for w in words if w[0] > "\u02ff" or w[-1] > "\u02ff" for c in w)
@@ -147,13 +147,14 @@ def is_copy(answer: str, question: str) -> bool:
     return bool(asked) and any(x and len(x) % len(asked) == 0 and x == asked * (len(x) // len(asked)) for x in (told, BEFORE_COPY.sub("", told)))
 
 
-def is_refusal(answer: str) -> bool:
-    """A sentence declines, and at most one sentence is neither that nor a courtesy."""
+def is_refusal(answer: str, question: str | None = None) -> bool:
+    """A sentence declines, and at most one sentence is neither that nor a courtesy nor the question's own."""
     text = without_markup(answer).translate(WIDTH).lower()
     if not DECLINES.search(text):
         return False
     sentences = [s.strip() for s in SENTENCE.split(text) if WORD.search(s)]
-    return sum(not DECLINES.search(s) and not IDLE.search(s) for s in sentences) <= 1
+    asked = bare(question or "")
+    return sum(not DECLINES.search(s) and not IDLE.search(s) and bare(s) not in asked for s in sentences) <= 1
 
 
 def is_truncated(answer: str) -> bool:
@@ -180,7 +181,7 @@ def defects_of(answer: str | None, question: str | None) -> list[str]:
     found = []
     if question is not None and is_copy(answer, question):
         found.append("copied_question")
-    if is_refusal(answer):
+    if is_refusal(answer, question):
         found.append("refusal")
     if question is not None:
         own, asked = language(answer), question_language(question)
