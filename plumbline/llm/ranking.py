@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbline.llm.groups import linked_groups
 from plumbline.session import Scratch
 
 
@@ -24,7 +25,8 @@ def global_ranking(
     tolerance: float = 1e-12,
     iterations: int = 10_000,
     dense_items: int = 2_000,
-    sparse_iterations: int = 200,
+    sparse_iterations: int = 2_000,
+    history: int = 6,
 ) -> DataFrame:
     """(group, item, strength, rank_no, comparisons, win_share): one row per item and group.
 
@@ -35,8 +37,10 @@ def global_ranking(
     their share of probability and are comparable only within their part. No results give no rows.
 
     Results are summed to one row per ordered pair first. A group of up to ``dense_items`` items is then
-    solved on its matrix in one task (at most its square of rows); larger groups by power iteration over
-    the pairs, tables being written between iterations."""
+    solved on its matrix in one task (at most its square of rows), which is squared in each iteration;
+    larger groups by accelerated iteration over the pairs, tables being written between iterations. Both
+    go on until a step moves less than ``tolerance`` of the probability, and raise if it still moves more
+    after ``iterations`` or ``sparse_iterations``."""
     spark = results.sparkSession
     scratch = Scratch(spark, "ranking")
     rows = results.select(
@@ -59,19 +63,23 @@ def global_ranking(
         moves[at, to] = (pdf["n"] - pdf["won"] + smoothing) / (pdf["n"] + 2 * smoothing)
         moves /= moves.sum(1).max()
         moves[np.diag_indices(n)] = 1 - moves.sum(1)
-        p = np.full(n, 1 / n)
-        for _ in range(iterations):
-            q = p @ moves
-            if np.abs(q - p).sum() < tolerance:
+        p, many = np.full(n, 1 / n), moves
+        for _ in range(min(iterations, 64)):  # 2^64 steps of the chain
+            moved = np.abs(p @ moves - p).sum()
+            if moved < tolerance:
                 break
-            p = q
+            p = p @ many
+            many = many @ many
+            many /= many.sum(1, keepdims=True)
+        else:
+            raise RuntimeError(f"the strengths of {n} items still move by {moved} after {iterations} iterations")
         return pd.DataFrame({"g": pdf["g"].iloc[0], "i": names, "p": p / p.sum(), "items": n})
 
     small = _join(pairs, F.broadcast(sizes.where(F.col("items") <= dense_items)), "g").drop("items")
     chain = small.groupBy("g").applyInPandas(solve, f"g {g_kind}, i {kind}, p double, items bigint")
     large = sizes.where(F.col("items") > dense_items)
     if not large.isEmpty():
-        chain = chain.unionByName(_sparse(scratch, pairs, large, smoothing, tolerance, sparse_iterations))
+        chain = chain.unionByName(_sparse(scratch, pairs, large, smoothing, tolerance, sparse_iterations, history))
     strength = F.log(F.greatest(F.col("p") * F.col("items"), F.lit(1e-300)))
     scored = _join(chain, totals, "g", "i").select("g", "i", strength.alias("strength"), "comparisons", "win_share")
     return _placed(scored).select(F.col("g").alias(group), F.col("i").alias("item"), "strength", F.col("rank_no"), "comparisons", "win_share")
@@ -96,24 +104,60 @@ def _placed(scored: DataFrame) -> DataFrame:
     return _join(numbered, F.broadcast(starts), "g", "part").withColumn("rank_no", (F.col("_before") + F.col("_at")).cast("bigint"))
 
 
-def _sparse(scratch: Scratch, pairs: DataFrame, large: DataFrame, smoothing: float, tolerance: float, iterations: int) -> DataFrame:
-    """Power iteration over the pairs of groups whose matrix doesn't fit a task. Probabilities flow along
-    pairs by a join and are combined before each shuffle; the previous table is deleted after each step."""
+def _sparse(scratch: Scratch, pairs: DataFrame, large: DataFrame, smoothing: float, tolerance: float, iterations: int, history: int) -> DataFrame:
+    """The chain of groups whose matrix doesn't fit a task, by iteration over the pairs. What is iterated is
+    the chain of the jumps alone, which an item with very many opponents doesn't slow down: its
+    probabilities are the sought ones times the rates out. Half of them flow along pairs in a step. The
+    next start is the mix of the last ``history`` steps that moved least (Anderson acceleration); each
+    step's table holds these, and the table before is deleted."""
+    spark = pairs.sparkSession
     rate = (F.col("n") - F.col("won") + smoothing) / (F.col("n") + 2 * smoothing)
-    moves = scratch.save(_join(pairs, F.broadcast(large), "g").select("g", "i", "j", rate.alias("r"), "items"))
-    out = scratch.save(moves.groupBy("g", "i").agg(F.sum("r").alias("out"), F.first("items").alias("items")))
-    most = out.groupBy("g").agg(F.max("out").alias("most"))
-    nodes = scratch.save(_join(out, F.broadcast(most), "g").select("g", "i", (1 - F.col("out") / F.col("most")).alias("stay"), "items"))
-    moves = scratch.save(_join(moves, F.broadcast(most), "g").select("g", "i", "j", (F.col("r") / F.col("most")).alias("r")))
-    p = scratch.save(nodes.select("g", "i", (1 / F.col("items")).alias("p")))
+    rates = scratch.save(_join(pairs, F.broadcast(large), "g").select("g", "i", "j", rate.alias("r"), "items"))
+    nodes = rates.groupBy("g", "i").agg(F.sum("r").alias("out"), F.first("items").alias("items"))
+    nodes = scratch.save(nodes.withColumn("id", F.monotonically_increasing_id()))
+    groups = scratch.save(nodes.groupBy("g").agg(F.sum("out").alias("all_out")).withColumn("gid", F.monotonically_increasing_id()))
+    left = _join(rates, nodes.select("g", "i", "id", "out"), "g", "i").select("g", F.col("j").alias("i"), F.col("id").alias("a"), (F.col("r") / F.col("out")).alias("r"))
+    moves = scratch.save(_join(left, nodes.select("g", "i", "id"), "g", "i").select("a", F.col("id").alias("b"), "r"))
+    start = _join(nodes, F.broadcast(groups), "g").select("id", "gid", (F.col("out") / F.col("all_out")).alias("y"))
+    empty = F.array().cast("array<double>")
+    y = scratch.save(start.select("id", "gid", "y", empty.alias("told"), empty.alias("off")))
+    kept = y
     for _ in range(iterations):
-        flow = _join(moves, p, "g", "i").select("g", F.col("j").alias("i"), (F.col("p") * F.col("r")).alias("q"))
-        kept = _join(nodes, p, "g", "i").select("g", "i", (F.col("p") * F.col("stay")).alias("q"))
-        q = scratch.save(flow.unionByName(kept).groupBy("g", "i").agg(F.sum("q").alias("p")))
-        change = _join(q, p.withColumnRenamed("p", "old"), "g", "i").groupBy("g").agg(F.sum(F.abs(F.col("p") - F.col("old"))).alias("d"))
-        moved = change.agg(F.max("d")).first()[0]
-        scratch.drop(p)
-        p = q
-        if moved is None or moved < max(tolerance, 1e-9):
+        flow = moves.join(y.select(F.col("id").alias("a"), "y"), "a").groupBy("b").agg(F.sum(F.col("y") * F.col("r")).alias("t"))
+        stepped = y.join(flow, y["id"] == flow["b"])
+        last = lambda c, x: F.slice(F.concat(F.array(x), F.col(c)), 1, history)
+        stepped = stepped.select("id", "gid", "y", last("told", (F.col("y") + F.col("t")) / 2).alias("told"), last("off", (F.col("t") - F.col("y")) / 2).alias("off"))
+        done = scratch.save(stepped)
+        scratch.drop(kept)
+        kept = done
+        n = len(done.select("off").first()[0])
+        at = [(a, b) for a in range(n) for b in range(a + 1)]
+        sums = done.groupBy("gid").agg((2 * F.sum(F.abs(F.col("off")[0])) / F.sum("y")).alias("moved"), F.array(*[F.sum(F.col("off")[a] * F.col("off")[b]) for a, b in at]).alias("products")).collect()
+        moved = max(r["moved"] for r in sums)
+        if moved < tolerance:
             break
-    return _join(p, nodes.select("g", "i", "items"), "g", "i").select("g", "i", "p", "items")
+        shares = spark.createDataFrame([(r["gid"], _shares(r["products"], at, n)) for r in sums], "gid bigint, shares array<double>")
+        mixed = F.aggregate(F.zip_with("told", "shares", lambda x, s: x * s), F.lit(0.0), lambda a, x: a + x)
+        # A mix may leave the positive numbers; a quarter of the plain step is the least.
+        y = done.join(F.broadcast(shares), "gid").select("id", "gid", F.greatest(mixed, F.col("told")[0] / 4).alias("y"), "told", "off")
+    else:
+        raise RuntimeError(f"the strengths of a group still move by {moved} after {iterations} iterations")
+    # Each part without comparisons to others has its share of probability.
+    parts = linked_groups(moves, "a", "b")
+    found = nodes.join(kept.select("id", F.col("told")[0].alias("y")), "id").join(parts, F.col("id") == F.col("vertex"))
+    found = scratch.save(found.select("g", "i", "items", "group_id", (F.col("y") / F.col("out")).alias("p")))
+    whole = found.groupBy("group_id").agg(F.sum("p").alias("whole"), F.count("*").alias("own"))
+    return found.join(whole, "group_id").select("g", "i", (F.col("p") / F.col("whole") * F.col("own") / F.col("items")).alias("p"), "items")
+
+
+def _shares(products: list[float], at: list[tuple[int, int]], n: int) -> list[float]:
+    """Shares, adding up to 1, of n steps whose mix moves least, from the products of their moves."""
+    gram = np.zeros((n, n))
+    for (a, b), x in zip(at, products):
+        gram[a, b] = gram[b, a] = x
+    scale = np.sqrt(np.diag(gram))
+    if not scale.all():
+        return [1.0] + [0.0] * (n - 1)
+    x = np.linalg.solve(gram / np.outer(scale, scale) + 1e-12 * np.eye(n), 1 / scale) / scale
+    x = x / x.sum()
+    return x.tolist() if np.isfinite(x).all() and np.abs(x).sum() < 1e4 else [1.0] + [0.0] * (n - 1)

@@ -1,5 +1,7 @@
 import math
+import random
 
+import numpy as np
 import pytest
 
 from plumbline.llm.ranking import global_ranking
@@ -48,3 +50,33 @@ def test_ties_draws_nulls_and_groups(spark):
 
 def test_no_results(spark):
     assert global_ranking(spark.createDataFrame([], SCHEMA), "dim", "l", "r", "score", "n").count() == 0
+
+
+def test_sparse_groups_converge_despite_a_hub(spark):
+    """Item 0 met all others, each of which met three more; apart from them, items 900 to 902 met each other."""
+    rng = random.Random(5)
+    plays = {(0, i): 3 for i in range(1, 150)} | {(i, j): 4 for i in range(1, 150) for j in rng.sample(range(1, 150), 3) if i < j}
+    plays |= {(900, 901): 8, (901, 902): 8}
+    rows = [("d", a, b, x, rng.randint(1, n)) for (a, b), n in plays.items() for x in (0.0, 1.0)]
+    items = sorted({i for pair in plays for i in pair})
+    won, met = np.zeros((len(items),) * 2), np.zeros((len(items),) * 2)
+    for _, a, b, x, n in rows:
+        i, j = items.index(a), items.index(b)
+        won[i, j], won[j, i], met[i, j], met[j, i] = won[i, j] + x * n, won[j, i] + (1 - x) * n, met[i, j] + n, met[j, i] + n
+    rates = np.where(met > 0, (met - won + 1) / (met + 2), 0)
+    expected = {}
+    for part in (range(len(items) - 3), range(len(items) - 3, len(items))):
+        balance = (rates - np.diag(rates.sum(1)))[np.ix_(part, part)].T
+        balance[0] = 1
+        p = np.linalg.solve(balance, np.eye(len(part))[0])
+        expected |= {items[i]: math.log(x * len(part)) for i, x in zip(part, p)}
+    for options in ({"dense_items": 1}, {}):
+        got = {r["item"]: r["strength"] for r in ranked(spark, rows, **options)[1].collect()}
+        assert got == pytest.approx(expected, abs=1e-8)
+
+
+@pytest.mark.parametrize("options", [{"dense_items": 1, "sparse_iterations": 3}, {"iterations": 1}])
+def test_unmet_tolerance_is_an_error(spark, options):
+    rows = planted({i: -0.5 * i for i in range(12)}, {(a, a + 1): 50 for a in range(11)})
+    with pytest.raises(Exception, match="still move"):
+        ranked(spark, rows, **options)
