@@ -1,9 +1,10 @@
 """A training mix with target shares of sources, by Sainte-Laguë apportionment of equal blocks of tokens.
 
-Blocks are apportioned twice: the mix's blocks among sources by their target shares, each source's
-blocks among its shards by their tokens. Records lie in shards by a seeded hash, in seeded order, and
-are cut into blocks by running token sums; a shard gives whole rounds of its blocks and then its first
-ones. So no source, however large, is ordered in one task."""
+The mix's blocks are apportioned among sources by their target shares, up to the blocks of tokens that a
+source's repeats hold, however long its records are. Records lie in shards by a seeded hash, in seeded
+order; a source's shards stand one after another, and each record covers a range of the source's running
+sum of tokens. A source gives whole rounds of all its records and then its first ones. So no source,
+however large, is ordered in one task."""
 
 from __future__ import annotations
 
@@ -11,7 +12,6 @@ import heapq
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,12 +58,13 @@ def mix_sources(
     records: DataFrame, key: str, source: str, tokens: str, targets: DataFrame, block_tokens: int = 512, shard_records: int = 50_000, seed: int = 17
 ) -> Mix:
     """Choose records so that each source contributes its ``target_share`` of ``total_tokens``, repeating
-    none of its blocks more than ``max_repeats`` times (columns of ``targets``, one row per source).
+    none of its records more than ``max_repeats`` times (columns of ``targets``, one row per source).
 
     Blocks that a source can't give go to the others by their quotients, so the total is kept while any
-    source has room. NULL sources, sources without a target and records of no tokens aren't taken; a
+    source has room. A record counts by the tokens it holds and is taken whole, the last one if at least
+    half of it fits: each source holds up to one block and half a record to its apportioned tokens. NULL sources, sources without a target and records of no tokens aren't taken; a
     target source without records gets its report row with 0 tokens. A NULL share counts as 0, NULL
-    repeats as 1. Shares hold up to one block per shard. ``targets`` holds one row per source and is read
+    repeats as 1. ``targets`` holds one row per source and is read
     by the driver."""
     spark = records.sparkSession
     scratch = Scratch(spark, "mixing")
@@ -75,31 +76,24 @@ def mix_sources(
     place = F.xxhash64("key", F.lit(seed))
     ordered = rows.withColumns({"_h": place, "shard": F.pmod(F.xxhash64("key", F.lit(seed + 1)), F.lit(shards))})
     run = Window.partitionBy("source", "shard").orderBy("_h", "key").rowsBetween(Window.unboundedPreceding, 0)
-    cut = ordered.withColumn("block", F.floor((F.sum("tokens").over(run) - F.col("tokens")) / block_tokens))
-    # Blocks that a long record leaves empty don't count: number those that exist.
-    blocks = Window.partitionBy("source", "shard").orderBy("block")
-    cut = scratch.save(cut.withColumn("block", F.dense_rank().over(blocks) - 1).drop("_h"))
-    sizes = cut.groupBy("source", "shard").agg(F.sum("tokens").alias("tokens"), (F.max("block") + 1).alias("blocks"))
-    sizes = scratch.save(sizes)
-    held = {r["source"]: r for r in sizes.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.sum("blocks").alias("blocks")).collect()}
+    cut = scratch.save(ordered.withColumn("start", F.sum("tokens").over(run) - F.col("tokens")).drop("_h"))
+    sizes = scratch.save(cut.groupBy("source", "shard").agg(F.sum("tokens").alias("held")))
+    held = {r["source"]: r["tokens"] for r in sizes.groupBy("source").agg(F.sum("held").alias("tokens")).collect()}
     plan = wanted.orderBy("source").collect()  # one row per source
     seats = -(-(plan[0]["total_tokens"] if plan else 0) // block_tokens)
-    limits = [float(r["max_repeats"] * (held[r["source"]]["blocks"] if r["source"] in held else 0)) for r in plan]
-    given = sainte_lague([r["target_share"] for r in plan], seats, limits)
-    quota = spark.createDataFrame([(r["source"], int(n), int(r["max_repeats"])) for r, n in zip(plan, given)], "source string, quota bigint, max_repeats bigint")
-
-    def among_shards(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("shard", ignore_index=True)
-        room = (pdf["blocks"] * pdf["max_repeats"]).astype(float).tolist()
-        return pdf[["source", "shard", "blocks"]].assign(quota=sainte_lague(pdf["tokens"].astype(float).tolist(), int(pdf["quota"].iloc[0]), room))
-
+    reach = [r["max_repeats"] * held.get(r["source"], 0) for r in plan]
+    given = sainte_lague([r["target_share"] for r in plan], seats, [float(-(-n // block_tokens)) for n in reach])
+    quota = [(r["source"], min(n * block_tokens, most), held[r["source"]]) for r, n, most in zip(plan, given, reach) if r["source"] in held]
+    quota = spark.createDataFrame(quota, "source string, quota bigint, whole bigint")
     # One row per shard, of which a source has its records / shard_records.
-    quotas = sizes.join(F.broadcast(quota), "source").groupBy("source").applyInPandas(among_shards, "source string, shard bigint, blocks bigint, quota bigint")
-    copies = F.floor(F.col("quota") / F.col("blocks")) + (F.col("block") < F.col("quota") % F.col("blocks")).cast("bigint")
-    taken = cut.join(quotas.select("source", "shard", "blocks", "quota"), ["source", "shard"]).withColumn("copies", copies).where("copies > 0")
+    before = F.sum("held").over(Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)) - F.col("held")
+    quotas = sizes.withColumn("before", before).join(F.broadcast(quota), "source")
+    middle = 2 * (F.col("before") + F.col("start")) + F.col("tokens")
+    copies = F.floor(F.col("quota") / F.col("whole")) + (middle <= 2 * (F.col("quota") % F.col("whole"))).cast("bigint")
+    taken = cut.join(quotas.select("source", "shard", "before", "quota", "whole"), ["source", "shard"]).withColumn("copies", copies).where("copies > 0")
     taken = scratch.save(taken.select(F.col("key").alias(key), "source", "tokens", "copies"))
     sums = taken.groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("selected_tokens"))
-    available = spark.createDataFrame([(s, int(r["tokens"])) for s, r in held.items()], "source string, available_tokens bigint")
+    available = spark.createDataFrame(list(held.items()), "source string, available_tokens bigint")
     report = wanted.join(available, "source", "left").join(sums, "source", "left").fillna(0, ["available_tokens", "selected_tokens"])
     all_tokens = F.sum("selected_tokens").over(Window.partitionBy(F.lit(1)))
     target = F.col("target_share") * F.col("total_tokens")

@@ -96,6 +96,18 @@ def test_mix(spark):
     assert sorted(map(tuple, mix.records.collect())) == sorted(map(tuple, again.records.collect()))
 
 
+def test_mix_counts_long_records_by_their_tokens(spark):
+    """Documents far longer than a block don't bring their source more than its share, nor less than it holds."""
+    rows = [(i, "long", 10_000) for i in range(300)] + [(1_000 + i, "short", 100) for i in range(20_000)] + [(90_000 + i, "few", 30_000) for i in range(2)]
+    targets = spark.createDataFrame([("few", 0.15, 2, 800_000), ("long", 0.45, 2, 800_000), ("short", 0.4, 2, 800_000)], "source string, target_share double, max_repeats long, total_tokens long")
+    df = spark.createDataFrame(rows, "id long, source string, tokens long")
+    for shard_records in (50_000, 3_000):
+        mix = mix_sources(df, "id", "source", "tokens", targets, shard_records=shard_records)
+        got = {r.source: r.selected_tokens for r in mix.report.collect()}
+        assert got["few"] == 120_000
+        assert abs(got["long"] - 360_000) <= 5_512 and abs(got["short"] - 320_000) <= 562
+
+
 def test_mix_of_nothing(spark):
     targets = spark.createDataFrame([("a", 1.0, 1, 100)], "source string, target_share double, max_repeats long, total_tokens long")
     mix = mix_sources(spark.createDataFrame([], "id long, source string, tokens long"), "id", "source", "tokens", targets)
