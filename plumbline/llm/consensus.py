@@ -27,7 +27,7 @@ from plumbline.session import Scratch
 @dataclass
 class Consensus:
     """items: item columns, label, probability, votes, agreement (share of agreeing pairs of votes, NULL
-    below two votes). annotators: annotator, votes, accuracy (expected share of right votes), matrix
+    below two votes), label_votes and posterior (arrays in the order of ``labels``). annotators: annotator, votes, accuracy (expected share of right votes), matrix
     (array of rows, in the order of ``labels``). agreement: one row with observed and expected agreement,
     Krippendorff's alpha for nominal labels, votes, items."""
 
@@ -49,23 +49,28 @@ def consensus(
     hot: int = 100_000,
     broadcast_mb: int = 64,
     max_labels: int = 64,
+    known: str | None = None,
 ) -> Consensus:
     """Estimate labels and annotators from ``votes`` (item columns, annotator, label).
 
     Rows with a NULL annotator or label don't count; NULL is a value like any other in an item column.
     Repeated votes of an annotator on an item all count. Ties of posteriors go to the first label in
-    sorted order. No votes give no items and annotators, and an agreement of NULLs. More than ``max_labels`` labels are refused, as the
+    sorted order. An item with a value in the column ``known`` of its votes has that label for certain; its
+    votes tell of the annotators only. No votes give no items and annotators, and an agreement of NULLs. More than ``max_labels`` labels are refused, as the
     matrices grow with their square."""
     spark = votes.sparkSession
     scratch = Scratch(spark, "consensus")
     keys = [f"_k{i}" for i in range(len(item))]
+    certain = (F.col(known) if known else F.lit(None)).cast("string").alias("_known")
     rows = votes.select(
-        *[F.col(c).alias(k) for c, k in zip(item, keys)], F.col(annotator).alias("_who"), F.col(label).cast("string").alias("_label")
+        *[F.col(c).alias(k) for c, k in zip(item, keys)], F.col(annotator).alias("_who"), F.col(label).cast("string").alias("_label"), certain
     ).where("_who is not null and _label is not null")
     rows = scratch.save(rows)
     people = rows.groupBy("_who").agg(F.count("*").alias("n"), F.collect_set("_label").alias("labels"))
     people = scratch.save(people)
-    labels = sorted(r[0] for r in people.select(F.explode("labels")).distinct().limit(max_labels + 1).collect())
+    named = people.select(F.explode("labels"))
+    named = named.union(rows.where("_known is not null").select("_known")) if known else named
+    labels = sorted(r[0] for r in named.distinct().limit(max_labels + 1).collect())
     if len(labels) > max_labels:
         raise ValueError(f"more than {max_labels} labels")
     k, n_people = max(1, len(labels)), people.count()
@@ -84,6 +89,7 @@ def consensus(
         "votes",
         F.when(F.col("votes") > 1, F.col("_pairs") / (F.col("votes") * (F.col("votes") - 1.0))).alias("agreement"),
         F.col("counts").alias("label_votes"),
+        "posterior",
     )
     return Consensus(items, annotators.withColumnRenamed("_who", annotator), agreement_of(items), labels, done)
 
@@ -120,6 +126,18 @@ def _smooth(counts: np.ndarray, smoothing: float) -> np.ndarray:
     return rows / rows.sum(2, keepdims=True)
 
 
+def _coded(label: str, labels: list[str]) -> F.Column:
+    """The place of a label among ``labels`` from 0; -1 for NULL."""
+    return F.coalesce(F.array_position(F.array(*[F.lit(x) for x in labels] or [F.lit("")]), F.col(label)).cast("int") - 1, F.lit(-1))
+
+
+def _fixed(post: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """The posteriors, with those of items whose label is known (not -1) set to it."""
+    sure = np.flatnonzero(known >= 0)
+    post[sure] = np.eye(post.shape[1])[known[sure]]
+    return post
+
+
 def _posteriors(logs: np.ndarray) -> np.ndarray:
     p = np.exp(logs - logs.max(1, keepdims=True))
     return p / p.sum(1, keepdims=True)
@@ -144,19 +162,19 @@ def _packed(spark, scratch, rows, people, keys, labels, iterations, tolerance, s
     known = people.select("_who").orderBy("_who").toPandas()["_who"]
     size = len(known)
     index = spark.createDataFrame(known.to_frame().assign(who=np.arange(size, dtype=np.int32)), f"_who {people.schema['_who'].dataType.simpleString()}, who int")
-    named = F.array_position(F.array(*[F.lit(x) for x in labels] or [F.lit("")]), F.col("_label")).cast("int") - 1
-    coded = rows.join(F.broadcast(index), "_who").select(*keys, "who", named.alias("named"))
-    counts = coded.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > hot).drop("n")
+    coded = rows.join(F.broadcast(index), "_who").select(*keys, "who", _coded("_label", labels).alias("named"), _coded("_known", labels).alias("known"))
+    counts = coded.groupBy(*keys).agg(F.count("*").alias("n"), F.max("known").alias("known")).where(F.col("n") > hot).drop("n")
     hot_items = scratch.save(counts)
-    hot_keys = hot_items.orderBy(*keys).collect()  # at most votes / hot rows
+    hot_rows = hot_items.orderBy(*keys).collect()  # at most votes / hot rows
+    hot_keys, hot_known = [r[:-1] for r in hot_rows], np.array([r["known"] for r in hot_rows], int)
     cold = coded
     hot_votes = None
     if hot_keys:
-        ids = spark.createDataFrame([(*r, i) for i, r in enumerate(hot_keys)], T.StructType([*hot_items.schema.fields, T.StructField("item", T.IntegerType())]))
+        ids = spark.createDataFrame([(*r, i) for i, r in enumerate(hot_keys)], T.StructType([*hot_items.schema.fields[:-1], T.StructField("item", T.IntegerType())]))
         same = [coded[c].eqNullSafe(ids[c]) for c in keys]
         hot_votes = scratch.save(coded.join(F.broadcast(ids), same).select("item", "who", "named"))
         cold = coded.join(F.broadcast(ids), same, "left_anti")
-    packed = scratch.save(cold.groupBy(*keys).agg(F.collect_list(F.col("who").cast("bigint") * k + F.col("named")).alias("votes")))
+    packed = scratch.save(cold.groupBy(*keys).agg(F.collect_list(F.col("who").cast("bigint") * k + F.col("named")).alias("votes"), F.max("known").alias("known")))
     # A task hands on one row per annotator it met, so it should see several votes of each.
     n_votes = people.agg(F.sum("n")).first()[0] or 0
     tasks = max(min(spark.sparkContext.defaultParallelism, n_votes // 200_000), min(n_votes // (8 * max(size, 1)), n_votes // 2_000_000), 1)
@@ -170,32 +188,32 @@ def _packed(spark, scratch, rows, people, keys, labels, iterations, tolerance, s
             votes = votes.combine_chunks()
         flat, ends = votes.flatten().to_numpy(zero_copy_only=False), np.diff(votes.offsets.to_numpy())
         at = np.repeat(np.arange(len(ends)), ends)
-        return at, flat // k, flat % k, len(ends)
+        return at, flat // k, flat % k, len(ends), batch.column("known").to_numpy(zero_copy_only=False)
 
-    def infer(at, who, named, n, state):
+    def infer(at, who, named, n, sure, state):
         """Posteriors of n items from the state: None before the first matrices exist."""
         shares = np.bincount(at * k + named, minlength=n * k).reshape(n, k).astype(float)
         if state is None:
-            return shares / np.maximum(shares.sum(1, keepdims=True), 1), shares
+            return _fixed(shares / np.maximum(shares.sum(1, keepdims=True), 1), sure), shares
         logs = np.tile(state[1], (n, 1))
         terms = state[0][who, :, named]
         for right in range(k):
             logs[:, right] += np.bincount(at, terms[:, right], n)
-        return _posteriors(logs), shares
+        return _fixed(_posteriors(logs), sure), shares
 
     state, accuracy, done, hot_post, counts_now = None, None, 0, None, np.zeros((size, k, k))
     for done in range(1, iterations + 1):
         shipped = spark.sparkContext.broadcast((state, hot_post))
         if hot_votes is not None:
-            hot_post = _hot_posteriors(hot_votes, shipped, n_hot, k)
+            hot_post = _hot_posteriors(hot_votes, shipped, hot_known, k)
             shipped.unpersist()
             shipped = spark.sparkContext.broadcast((state, hot_post))
 
         def pass_cold(batches, shipped=shipped):
             state, total = shipped.value[0], np.zeros((size, k, k))
             for batch in batches:
-                at, who, named, n = unpack(batch)
-                post, _ = infer(at, who, named, n, state)
+                at, who, named, n, sure = unpack(batch)
+                post, _ = infer(at, who, named, n, sure, state)
                 total += _sums(who, named, post[at], k, size)
             yield _rows(total)
 
@@ -206,7 +224,7 @@ def _packed(spark, scratch, rows, people, keys, labels, iterations, tolerance, s
                 total += _sums(who, named, post[item], k, size)
             yield _rows(total)
 
-        parts = packed.select("votes").mapInArrow(pass_cold, schema)
+        parts = packed.select("votes", "known").mapInArrow(pass_cold, schema)
         if hot_votes is not None:
             parts = parts.union(hot_votes.mapInArrow(pass_hot, schema))
         summed = parts.groupBy("who").agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in range(k * k)]).toPandas()
@@ -226,15 +244,15 @@ def _packed(spark, scratch, rows, people, keys, labels, iterations, tolerance, s
     def label_cold(batches):
         state = shipped.value[0]
         for batch in batches:
-            at, who, named, n = unpack(batch)
-            post, shares = infer(at, who, named, n, state)
+            at, who, named, n, sure = unpack(batch)
+            post, shares = infer(at, who, named, n, sure, state)
             ends = pa.array(np.arange(n + 1, dtype=np.int32) * k)
             lists = [pa.ListArray.from_arrays(ends, pa.array(x.ravel())) for x in (post, shares.astype(np.int64))]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keys), *lists], names=[*keys, "posterior", "counts"])
 
     posteriors = packed.mapInArrow(label_cold, out)
     if hot_votes is not None:
-        post = _hot_posteriors(hot_votes, shipped, n_hot, k)
+        post = _hot_posteriors(hot_votes, shipped, hot_known, k)
         shares = np.zeros((n_hot, k), np.int64)
         for r in hot_votes.groupBy("item", "named").count().collect():
             shares[r["item"], r["named"]] = r["count"]
@@ -254,8 +272,9 @@ def _packed(spark, scratch, rows, people, keys, labels, iterations, tolerance, s
     return posteriors, annotators, done
 
 
-def _hot_posteriors(hot_votes, shipped, n_hot, k):
+def _hot_posteriors(hot_votes, shipped, known, k):
     """Posteriors of the items with very many votes: log-likelihoods summed within partitions first."""
+    n_hot = len(known)
 
     def partial(batches):
         state, total = shipped.value[0], np.zeros((n_hot, k))
@@ -274,20 +293,22 @@ def _hot_posteriors(hot_votes, shipped, n_hot, k):
     for r in found:
         sums[r["item"], r["right"]] = r["x"]
     state = shipped.value[0]
-    return sums / np.maximum(sums.sum(1, keepdims=True), 1) if state is None else _posteriors(sums + state[1])
+    return _fixed(sums / np.maximum(sums.sum(1, keepdims=True), 1) if state is None else _posteriors(sums + state[1]), known)
 
 
 def _joined(scratch, rows, people, keys, labels, iterations, tolerance, smoothing):
     """The same steps as joins, for more annotators than can be broadcast. Hot items and annotators are
     combined before their shuffles by partial aggregation and split in joins by the adaptive planner."""
     k = len(labels)
-    named = (F.array_position(F.array(*[F.lit(x) for x in labels]), F.col("_label")).cast("int") - 1).alias("named")
+    named = _coded("_label", labels).alias("named")
+    sure = F.max("known").alias("known")
+    fixed = lambda i, p: F.when(F.col("known") >= 0, (F.col("known") == i).cast("double")).otherwise(p).alias(f"p{i}")
     item = F.struct(*keys)
-    votes = scratch.save(rows.select(item.alias("item"), "_who", named).groupBy("item", "_who", "named").agg(F.count("*").alias("n")))
+    votes = scratch.save(rows.select(item.alias("item"), "_who", named, _coded("_known", labels).alias("known")).groupBy("item", "_who", "named").agg(F.count("*").alias("n"), sure))
     tally = [F.sum(F.when(F.col("named") == i, F.col("n")).otherwise(0)).alias(f"c{i}") for i in range(k)]
-    shares = votes.groupBy("item").agg(*tally)
+    shares = votes.groupBy("item").agg(sure, *tally)
     total = sum((F.col(f"c{i}") for i in range(k)), F.lit(0))
-    shares = scratch.save(shares.select("item", *[(F.col(f"c{i}") / total).alias(f"p{i}") for i in range(k)], F.array(*[F.col(f"c{i}") for i in range(k)]).alias("counts")))
+    shares = scratch.save(shares.select("item", *[fixed(i, F.col(f"c{i}") / total) for i in range(k)], F.array(*[F.col(f"c{i}") for i in range(k)]).alias("counts")))
     post, old, counts, done = shares, None, None, 0
     spare: list[DataFrame] = []
     for done in range(1, iterations + 1):
@@ -304,11 +325,11 @@ def _joined(scratch, rows, people, keys, labels, iterations, tolerance, smoothin
         logs = [F.log((F.col(f"s{a}_{b}") + smoothing * float(base[a, b])) / right[a]).alias(f"l{a}_{b}") for a in range(k) for b in range(k)]
         told = votes.join(counts.select("_who", *logs), "_who")
         of = [sum((F.when(F.col("named") == b, F.col(f"l{a}_{b}")).otherwise(0.0) for b in range(k)), F.lit(0.0)) for a in range(k)]
-        sums = told.groupBy("item").agg(*[(F.sum(x * F.col("n")) + float(np.log(prior[a]))).alias(f"x{a}") for a, x in enumerate(of)])
+        sums = told.groupBy("item").agg(sure, *[(F.sum(x * F.col("n")) + float(np.log(prior[a]))).alias(f"x{a}") for a, x in enumerate(of)])
         top = F.greatest(*[F.col(f"x{a}") for a in range(k)]) if k > 1 else F.col("x0")
-        sums = sums.select("item", *[F.exp(F.col(f"x{a}") - top).alias(f"e{a}") for a in range(k)])
+        sums = sums.select("item", "known", *[F.exp(F.col(f"x{a}") - top).alias(f"e{a}") for a in range(k)])
         whole = sum((F.col(f"e{a}") for a in range(k)), F.lit(0.0))
-        post = scratch.save(sums.select("item", *[(F.col(f"e{a}") / whole).alias(f"p{a}") for a in range(k)]))
+        post = scratch.save(sums.select("item", *[fixed(a, F.col(f"e{a}") / whole) for a in range(k)]))
         hits = sum((F.col(f"s{a}_{a}") for a in range(k)), F.lit(0.0))
         everything = sum((F.col(c) for c in counts.columns[1:]), F.lit(0.0))
         now = counts.select("_who", (hits / everything).alias("accuracy"))

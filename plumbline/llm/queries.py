@@ -20,6 +20,7 @@ from plumbline.llm.sampling import Sample, sample_to_targets
 from plumbline.llm.tokenizing import with_token_counts
 from plumbline.llm.votes import annotator_votes, model_votes
 from plumbline.schema import STATUS_FINISHED
+from plumbline.session import Scratch
 from plumbline.sources.tables import current_numbers, current_rows, table
 
 #: Midway between the most right votes of an unreliable annotator (61 %) and the least of a careful one (70 %).
@@ -29,24 +30,38 @@ LEAST_TASKS = 10
 SLOW = {"p50": (0.5, 240), "p90": (0.9, 1200)}
 
 
-def _consensus(spark: SparkSession, sf: str) -> Consensus:
-    return consensus(annotator_votes(spark, sf), ["content_id", "eval_dim_key"], "user_id", "label")
+ITEM = ["content_id", "eval_dim_key"]
+
+
+def _consensus(votes: DataFrame) -> Consensus:
+    return consensus(votes, ITEM, "user_id", "label", known="known")
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
-    """Unreliable annotators: expected share of right votes below RELIABLE in LEAST_VOTES votes or more."""
-    found = _consensus(spark, sf).annotators
-    return found.where((F.col("votes") >= LEAST_VOTES) & (F.col("accuracy") < RELIABLE)).select("user_id")
+    """Unreliable annotators: expected share of right votes below RELIABLE in LEAST_VOTES votes or more.
+
+    The consensus is of all votes; those on golden comparisons are then taken off the annotators' counts."""
+    votes = Scratch(spark, "votes").save(annotator_votes(spark, sf))
+    found = _consensus(votes)
+    golden = votes.where("golden").groupBy(*ITEM, "user_id", "label").agg(F.count("*").alias("n"))
+    named = F.array_position(F.array(*[F.lit(x) for x in found.labels] or [F.lit("")]), F.col("label")).cast("int")
+    items = found.items.select(F.col("content_id"), F.col("eval_dim_key").alias("_dim"), "posterior")
+    golden = golden.join(items, [golden["content_id"] == items["content_id"], F.col("eval_dim_key").eqNullSafe(F.col("_dim"))])
+    golden = golden.groupBy("user_id").agg(F.sum("n").alias("off"), F.sum(F.col("n") * F.element_at("posterior", named)).alias("right"))
+    normal = found.annotators.join(golden, "user_id", "left").fillna(0, ["off", "right"]).withColumn("n", F.col("votes") - F.col("off"))
+    accuracy = (F.col("accuracy") * F.col("votes") - F.col("right")) / F.col("n")
+    return normal.where((F.col("n") >= LEAST_VOTES) & (accuracy < RELIABLE)).select("user_id")
 
 
 def p1_consensus(spark: SparkSession, sf: str) -> DataFrame:
-    """The consensus label of each comparison and dimension, with its probability and agreement."""
-    return _consensus(spark, sf).items.drop("label_votes")
+    """The consensus label of each comparison and dimension, with its probability and agreement; the known
+    one of golden comparisons."""
+    return _consensus(annotator_votes(spark, sf)).items.drop("label_votes", "posterior")
 
 
 def p1_agreement(spark: SparkSession, sf: str) -> DataFrame:
     """Chance-corrected agreement per dimension."""
-    return agreement_of(_consensus(spark, sf).items, ["eval_dim_key"])
+    return agreement_of(_consensus(annotator_votes(spark, sf)).items, ["eval_dim_key"])
 
 
 def _verdicts(spark: SparkSession, sf: str) -> DataFrame:

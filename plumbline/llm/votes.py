@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.operators.ballots import answer_truth
 from plumbline.schema import STATUS_FINISHED
 from plumbline.sources.tables import bounded, current_rows, table
 
@@ -24,11 +25,25 @@ def valid_votes(spark: SparkSession, folder: str) -> DataFrame:
     return finished.select("eval_session_id", "content_id", F.inline("entries")).where("winner_id is not null")
 
 
+def all_comparisons(spark: SparkSession, folder: str) -> DataFrame:
+    """(content_id, answer_left, answer_right, golden) of the comparisons, one row each."""
+    rows = table(spark, folder, "eval_comparisons").select("id", "answer_left", "answer_right", "is_golden", "dt")
+    golden = (F.coalesce("is_golden", F.lit(0)) == 1).alias("golden")
+    return current_rows(rows, "id", "dt").select(F.col("id").alias("content_id"), "answer_left", "answer_right", golden)
+
+
 def normal_comparisons(spark: SparkSession, folder: str) -> DataFrame:
     """(content_id, answer_left, answer_right) of the comparisons that aren't golden, one row each."""
-    rows = table(spark, folder, "eval_comparisons").select("id", "answer_left", "answer_right", "is_golden", "dt")
-    current = current_rows(rows, "id", "dt").where(F.coalesce("is_golden", F.lit(0)) != 1)
-    return current.select(F.col("id").alias("content_id"), "answer_left", "answer_right")
+    return all_comparisons(spark, folder).where("not golden").drop("golden")
+
+
+def golden_answers(spark: SparkSession, folder: str) -> DataFrame:
+    """(content_id, known): 'left' or 'right' for each golden comparison of which one answer alone is said to be right."""
+    right = answer_truth(spark, folder).where("correct = 1").select(F.col("answer_id").alias("winner_id"))
+    golden = all_comparisons(spark, folder).where("golden")
+    sides = golden.select("content_id", "answer_left", "answer_right", F.explode(F.array_distinct(F.array("answer_left", "answer_right"))).alias("winner_id"))
+    told = sides.join(right, "winner_id").select("content_id", side().alias("known"))
+    return told.groupBy("content_id").agg(F.max("known").alias("known"), F.count("*").alias("n")).where("n = 1").drop("n")
 
 
 def side(winner: str = "winner_id") -> F.Column:
@@ -41,14 +56,16 @@ def side(winner: str = "winner_id") -> F.Column:
 
 
 def annotator_votes(spark: SparkSession, folder: str) -> DataFrame:
-    """(user_id, content_id, eval_dim_key, label): the valid votes on normal comparisons by known users."""
+    """(user_id, content_id, eval_dim_key, label, golden, known): the valid votes by known users; known is the
+    label of a golden comparison with a known answer, else NULL."""
     sessions = table(spark, folder, "eval_sessions").select("id", "user_id", "dt")
     users = current_rows(sessions, "id", "dt").where("user_id is not null")
     users = users.select(F.col("id").alias("eval_session_id"), "user_id")
     votes = valid_votes(spark, folder)
-    votes = votes.join(bounded(normal_comparisons(spark, folder)), "content_id")
+    pairs = all_comparisons(spark, folder).join(golden_answers(spark, folder), "content_id", "left")
+    votes = votes.join(bounded(pairs), "content_id")
     votes = votes.join(bounded(users), "eval_session_id")
-    return votes.select("user_id", "content_id", "eval_dim_key", side().alias("label")).where("label is not null")
+    return votes.select("user_id", "content_id", "eval_dim_key", side().alias("label"), "golden", "known").where("label is not null")
 
 
 def model_votes(spark: SparkSession, folder: str) -> DataFrame:

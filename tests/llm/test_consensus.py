@@ -93,3 +93,16 @@ def test_alpha_of_a_worked_case(spark):
     got = found.agreement.first()
     assert got.observed == pytest.approx(0.75) and got.alpha == pytest.approx(1 - (2 / 8) / (30 / 56))
     assert agreement_of(found.items, ["label"]).where("label = 'a'").first()["items"] >= 2
+
+
+@pytest.mark.parametrize("options", [{}, {"hot": 3}, {"broadcast_mb": 0}])
+def test_known_labels_are_certain(spark, options):
+    """Most are wrong on the items with known labels, of which one label was never voted for."""
+    rows, truth = planted()
+    rows = [(*r, None) for r in rows] + [(1000 + i, p, "L" if p < 10 else "R", "R") for i in range(20) for p in range(14)] + [(2000, 1, "L", "X")]
+    found = consensus(spark.createDataFrame(rows, SCHEMA + ", known string"), ["item"], "who", "label", known="known", **options)
+    items = {r.item: r for r in found.items.collect()}
+    assert found.labels == ["D", "L", "R", "X"] and items[2000].label == "X"
+    assert all(items[1000 + i].label == "R" and items[1000 + i].probability == 1 and items[1000 + i].votes == 14 for i in range(20))
+    accuracy = {r.who: r.accuracy for r in found.annotators.collect()}
+    assert max(accuracy[p] for p in range(10)) < min(accuracy[p] for p in range(10, 14))

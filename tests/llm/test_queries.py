@@ -2,6 +2,7 @@
 
 import pytest
 from oracles import DATA, assert_same, connection
+from pyspark.sql import functions as F
 
 from plumbline.llm.oracle import oracle_sql
 from plumbline.llm.queries import queries
@@ -36,3 +37,9 @@ def test_query_runs_without_duplicates(spark, name):
 @pytest.mark.parametrize("name", sorted(COLUMNS))
 def test_columns(spark, name):
     assert QUERIES[name](spark, DATA).columns == COLUMNS[name]
+
+
+def test_consensus_holds_golden_comparisons(spark):
+    golden = [r[0] for r in spark.read.parquet(f"{DATA}/eval_comparisons.parquet").where("is_golden = 1").select("id").distinct().collect()]
+    rows = QUERIES["p1_consensus"](spark, DATA).where(F.col("content_id").isin(golden)).collect()
+    assert rows and all(r.probability == 1 and r.label in ("left", "right") for r in rows)
