@@ -6,6 +6,7 @@ to questions."""
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -127,12 +128,9 @@ def language(text: str) -> str | None:
 
 
 def question_language(text: str) -> str | None:
-    """As language; of a question written as named fields only the field that asks counts, which is taken
-    for English where it isn't Chinese."""
+    """As language; of a question written as named fields only the field that asks counts."""
     field = ASKED_FOR.search(text)
-    if field:
-        return "zh" if re.search(f"[{CJK}]", field[1]) else "en"
-    return language(text)
+    return language(field[1] if field else text)
 
 
 def is_empty(answer: str | None) -> bool:
@@ -157,15 +155,21 @@ def is_refusal(answer: str, question: str | None = None) -> bool:
     return sum(not DECLINES.search(s) and not IDLE.search(s) and bare(s) not in asked for s in sentences) <= 1
 
 
-def is_truncated(answer: str) -> bool:
-    """Ends neither with a closing mark nor with a short list entry, or leaves a delimiter open."""
-    text, size = answer, -1
+def _without_tail(text: str) -> str:
+    """The text without blanks, emphasis, symbols, notes and tags at its end."""
+    size = -1
     while len(text) != size:
         size = len(text)
         text = text.rstrip().rstrip("*_`~\ufe0f\u200d")
         while text and unicodedata.category(text[-1]) in ("So", "Sk"):
             text = text[:-1]
         text = TAIL.sub("", text)
+    return text
+
+
+def is_truncated(answer: str) -> bool:
+    """Ends neither with a closing mark nor with a short list entry, or leaves a delimiter open."""
+    text = _without_tail(answer)
     last = text.rpartition("\n")[2]
     if BARE_MARK.fullmatch(last) and "\n" in text:
         return True
@@ -213,17 +217,32 @@ def list_entries(answer: str | None, question: str | None) -> tuple[list[str], s
     return entries, masked(lines[-1], True) if LIST_LINE.match(lines[-1]) else None
 
 
-def answer_defects(pairs: DataFrame, answer: str, question: str) -> DataFrame:
+def at_limit(answer: str | None, metadata: str | None) -> bool:
+    """The metadata say that generation stopped at its limit of tokens, and no closing mark denies it."""
+    try:
+        told = json.loads(metadata or "")
+    except ValueError:
+        return False
+    if not isinstance(told, dict) or told.get("finish_reason") != "length":
+        return False
+    used, most = told.get("completion_tokens"), told.get("max_tokens")
+    full = isinstance(used, (int, float)) and isinstance(most, (int, float)) and used >= most
+    return full and not _without_tail(answer or "").rstrip(CLOSERS).endswith(ENDS)
+
+
+def answer_defects(pairs: DataFrame, answer: str, question: str, metadata: str | None = None) -> DataFrame:
     """``pairs`` with two more columns: defects (array of every type that holds, in the order of TYPES) and
     defect (its first, NULL for a sound answer).
 
     A NULL question only keeps the rules that need one from holding; an empty answer has no other defect.
     An answer that ends in a list entry is truncated if that entry is nowhere an inner entry, but begins
-    one: the entries of all answers are counted for this. Texts are read whole. Columns named defects,
-    defect, _inner or _last are replaced."""
-    rows = pairs.drop("defects", "defect", "_inner", "_last")
+    one: the entries of all answers are counted for this. One that neither is nor begins an inner entry is
+    truncated if ``metadata`` (a column of JSON) tells that its answer reached the limit of tokens; that
+    alone isn't proof, as many answers that reach it are complete. Texts are read whole. Columns named
+    defects, defect, _inner, _last, _full or _broken are replaced."""
+    rows = pairs.drop("defects", "defect", "_inner", "_last", "_full", "_broken")
     texts = T.ArrayType(T.StringType())
-    added = [T.StructField("defects", texts), T.StructField("_inner", texts), T.StructField("_last", T.StringType())]
+    added = [T.StructField("defects", texts), T.StructField("_inner", texts), T.StructField("_last", T.StringType()), T.StructField("_full", T.BooleanType())]
     schema = T.StructType([*rows.schema.fields, *added])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,13 +251,16 @@ def answer_defects(pairs: DataFrame, answer: str, question: str) -> DataFrame:
             found = pa.array([defects_of(a, q) for a, q in zip(told, asked)], pa.list_(pa.string()))
             lists = [list_entries(a, q) for a, q in zip(told, asked)]
             inner, last = pa.array([x[0] for x in lists], pa.list_(pa.string())), pa.array([x[1] for x in lists], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, found, inner, last], names=[*batch.schema.names, "defects", "_inner", "_last"])
+            said = batch.column(metadata).to_pylist() if metadata else [None] * len(told)
+            full = pa.array([at_limit(a, m) for a, m in zip(told, said)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([*batch.columns, found, inner, last, full], names=[*batch.schema.names, "defects", "_inner", "_last", "_full"])
 
     judged = Scratch(pairs.sparkSession, "defects").save(rows.mapInArrow(judge, schema))
     known = judged.select(F.explode("_inner").alias("entry")).distinct()
     begun = known.select(F.explode(F.expr("transform(sequence(1, greatest(length(entry) - 1, 1)), i -> left(entry, i))")).alias("entry")).distinct()
     broken = begun.join(known, "entry", "left_anti").select(F.col("entry").alias("_last"), F.lit(True).alias("_broken"))
-    cut = F.coalesce(F.col("_broken") | F.col("_last").endswith("@~"), F.lit(False)) & ~F.array_contains("defects", "truncated") & ~F.array_contains("defects", "empty")
+    ends = broken.unionByName(known.select(F.col("entry").alias("_last"), F.lit(False).alias("_broken")))
+    cut = F.coalesce(F.coalesce("_broken", F.col("_full") & F.col("_last").isNotNull()) | F.col("_last").endswith("@~"), F.lit(False)) & ~F.array_contains("defects", "truncated") & ~F.array_contains("defects", "empty")
     defects = F.when(cut, F.array_append("defects", F.lit("truncated"))).otherwise(F.col("defects"))
-    done = judged.join(broken, "_last", "left").withColumn("defects", defects).select(*rows.columns, "defects")
+    done = judged.join(ends, "_last", "left").withColumn("defects", defects).select(*rows.columns, "defects")
     return done.withColumn("defect", F.get("defects", F.lit(0)))

@@ -129,11 +129,11 @@ def p4_day_summaries(spark: SparkSession, sf: str) -> DataFrame:
 
 def p5_defects(spark: SparkSession, sf: str) -> DataFrame:
     """Every current answer with all its defects."""
-    answers = table(spark, sf, "llm_answer").select("answer_id", "query_id", "answer_content", "generated_at")
+    answers = table(spark, sf, "llm_answer").select("answer_id", "query_id", "answer_content", "generation_metadata", "generated_at")
     asked = table(spark, sf, "query_item").select("query_id", "raw_query", "dm")
     asked = current_rows(asked, "query_id", "dm").select("query_id", "raw_query")
     pairs = current_rows(answers, "answer_id", "generated_at").join(asked, "query_id", "left")
-    return answer_defects(pairs, "answer_content", "raw_query").select("answer_id", "query_id", "defects", "defect")
+    return answer_defects(pairs, "answer_content", "raw_query", "generation_metadata").select("answer_id", "query_id", "defects", "defect")
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:

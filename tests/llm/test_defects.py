@@ -64,3 +64,16 @@ def test_long_and_empty_inputs(spark):
     got = {r.id: r.defect for r in answer_defects(df, "a", "q").collect()}
     assert got == {1: None, 2: "truncated", 3: "empty"}
     assert answer_defects(df.limit(0), "a", "q").count() == 0
+
+
+def test_cut_entry_that_no_other_answer_has(spark):
+    full, free = ('{"finish_reason": "length", "completion_tokens": %d, "max_tokens": 40}' % n for n in (40, 20))
+    cut, whole, marked = "Go right.\n- Brass key\n- Amber lant", "Go on.\n- Amber lamp\n- Brass key", "Go up.\n- Brass key\n- Take the lamp."
+    rows = [(1, cut, full), (2, cut, free), (3, cut, None), (4, cut, "{"), (5, whole, full), (6, marked, full)]
+    df = spark.createDataFrame(rows, "id int, a string, m string").selectExpr("*", "'Where do I go?' as q")
+    assert [r.id for r in answer_defects(df, "a", "q", "m").where("defect = 'truncated'").collect()] == [1]
+
+
+def test_language_of_a_field_query_is_told_by_its_text():
+    assert defects_of("Der Drache ist schwach gegen Feuer.", "game=Tide; ask=Schwachstelle; level=3") == []
+    assert defects_of("Der Drache ist schwach gegen Feuer.", "game=Tide; ask=where is the weak point; level=3") == ["wrong_language"]
