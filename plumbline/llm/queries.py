@@ -121,10 +121,10 @@ def p4_percentiles(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p4_day_summaries(spark: SparkSession, sf: str) -> DataFrame:
-    """One mergeable summary of the answer times per day, with its size and error."""
-    keys = ["day"]
-    stored = quantiles.packed(quantiles.summaries(_answer_times(spark, sf), keys, "seconds"), keys)
-    return stored.select("day", "n", "error", F.size("tuples").alias("tuples"))
+    """One summary of the answer times per comparison and day, with its error and its tuples, from which
+    quantiles.unpacked and quantiles.merge put days together."""
+    keys = ["content_id", "day"]
+    return quantiles.packed(quantiles.summaries(_answer_times(spark, sf), keys, "seconds"), keys)
 
 
 def p5_defects(spark: SparkSession, sf: str) -> DataFrame:

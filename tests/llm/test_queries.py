@@ -4,6 +4,7 @@ import pytest
 from oracles import DATA, assert_same, connection
 from pyspark.sql import functions as F
 
+from plumbline.llm import quantiles
 from plumbline.llm.oracle import oracle_sql
 from plumbline.llm.queries import queries
 
@@ -43,3 +44,10 @@ def test_consensus_holds_golden_comparisons(spark):
     golden = [r[0] for r in spark.read.parquet(f"{DATA}/eval_comparisons.parquet").where("is_golden = 1").select("id").distinct().collect()]
     rows = QUERIES["p1_consensus"](spark, DATA).where(F.col("content_id").isin(golden)).collect()
     assert rows and all(r.probability == 1 and r.label in ("left", "right") for r in rows)
+
+
+def test_stored_days_give_the_percentiles_of_comparisons(spark):
+    stored = QUERIES["p4_day_summaries"](spark, DATA)
+    whole = quantiles.merge(quantiles.unpacked(stored, ["content_id"], F.col("day")), ["content_id"])
+    got = quantiles.quantiles(whole, ["content_id"], {"p50": 0.5, "p90": 0.9, "p99": 0.99})
+    assert sorted(map(str, got.collect())) == sorted(map(str, QUERIES["p4_percentiles"](spark, DATA).collect()))
