@@ -145,9 +145,10 @@ def fit_reading(documents: DataFrame, doc_id: str, text: str, labels: DataFrame,
     return ReadingModel(spark.createDataFrame(known_words, "word string, grade double"), grades, centre, scale, weights)
 
 
-def reading_grades(documents: DataFrame, doc_id: str, text: str, model: ReadingModel, least_share: float = 0.3) -> DataFrame:
+def reading_grades(documents: DataFrame, doc_id: str, text: str, model: ReadingModel) -> DataFrame:
     """(doc_id, grade, known_share, median_word_grade): one row per document; grade is NULL for texts of fewer
-    than LEAST_WORDS known words or less than ``least_share`` known ones. Texts are read whole.
+    than LEAST_WORDS known words. known_share, the share of known words, tells how sure the grade is.
+    Texts are read whole.
 
     The known words are broadcast; the model holds at most MOST_WORDS."""
     spark = documents.sparkSession
@@ -163,7 +164,7 @@ def reading_grades(documents: DataFrame, doc_id: str, text: str, model: ReadingM
                 found = words(t or "")
                 x = np.array([known[w] for w in found if w in known])
                 shares.append(len(x) / len(found) if found else None)
-                fit = len(x) >= LEAST_WORDS and len(x) >= least_share * len(found)
+                fit = len(x) >= LEAST_WORDS
                 rows.append(describe(x) if fit else None)
                 middles.append(float(np.median(x)) if fit else None)
             at = [i for i, r in enumerate(rows) if r is not None]

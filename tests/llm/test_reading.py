@@ -39,3 +39,12 @@ def test_too_few_grades(spark):
 
 def test_words():
     assert words("Der Hund <b>läuft</b> 3 mal") == ["der", "hund", "läuft", "mal"] and words("小猫跑") == ["小猫", "猫跑"] and words("") == []
+
+
+def test_texts_of_mostly_unknown_words_get_a_grade(spark):
+    known = "aa ab ac ad ae af"
+    docs = [(i, known if i % 2 else "za zb zc zd ze zf") for i in range(20)] + [(90, known + " " + " ".join(f"q{c}" for c in "abcdefghijklmnopqrst")), (91, "aa ab qa")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 4 if i % 2 else 1) for i in range(20)], "doc_id long, grade long")
+    got = {r.doc_id: r for r in reading_grades(df, "doc_id", "text", fit_reading(df, "doc_id", "text", labels, "grade")).collect()}
+    assert got[90].grade == 4 and got[90].known_share < 0.3 and got[91].grade is None
