@@ -28,19 +28,21 @@ def nearest(vectors: DataFrame, key: str, vector: str, queries: DataFrame, k: in
         shipped = vectors.sparkSession.sparkContext.broadcast(_unit(part.column(0), part.column(1)))
 
         def search(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
-            ids, matrix = shipped.value
-            best_s, best_i = np.full((len(ids), k), -2.0), np.zeros((len(ids), k), np.int64)
+            best = {size: (np.full((len(ids), k), -2.0), np.zeros((len(ids), k), np.int64)) for size, (ids, _) in shipped.value.items()}
             for batch in batches:
-                own, unit = _unit(batch.column(0), batch.column(1))
-                if not len(own) or not len(ids) or unit.shape[1] != matrix.shape[1]:
-                    continue
-                cosine = matrix @ unit.T
-                cosine[ids[:, None] == own[None, :]] = -2.0
-                s, i = np.concatenate([best_s, cosine], 1), np.concatenate([best_i, np.broadcast_to(own, cosine.shape)], 1)
-                order = np.lexsort((i, -s), axis=1)[:, :k]
-                best_s, best_i = np.take_along_axis(s, order, 1), np.take_along_axis(i, order, 1)
-            q, at = np.nonzero(best_s > -2.0)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[q]), pa.array(best_i[q, at]), pa.array(best_s[q, at])], names=["query_id", "neighbour_id", "similarity"])
+                for size, (own, unit) in _unit(batch.column(0), batch.column(1)).items():
+                    if size not in best:
+                        continue
+                    (ids, matrix), (best_s, best_i) = shipped.value[size], best[size]
+                    cosine = matrix @ unit.T
+                    cosine[ids[:, None] == own[None, :]] = -2.0
+                    s, i = np.concatenate([best_s, cosine], 1), np.concatenate([best_i, np.broadcast_to(own, cosine.shape)], 1)
+                    order = np.lexsort((i, -s), axis=1)[:, :k]
+                    best[size] = np.take_along_axis(s, order, 1), np.take_along_axis(i, order, 1)
+            for size, (best_s, best_i) in best.items():
+                ids = shipped.value[size][0]
+                q, at = np.nonzero(best_s > -2.0)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[q]), pa.array(best_i[q, at]), pa.array(best_s[q, at])], names=["query_id", "neighbour_id", "similarity"])
 
         hits = rows.mapInArrow(search, f"query_id {kind}, neighbour_id {kind}, similarity double")
         found = hits if found is None else found.unionByName(hits)
@@ -48,15 +50,17 @@ def nearest(vectors: DataFrame, key: str, vector: str, queries: DataFrame, k: in
     return found.withColumn("place", place).where(F.col("place") <= k)
 
 
-def _unit(ids: pa.Array, vectors: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and unit vectors of the commonest length."""
+def _unit(ids: pa.Array, vectors: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Ids and unit vectors by the vectors' length."""
     keys = ids.to_numpy(zero_copy_only=False) if isinstance(ids, pa.Array) else ids.to_numpy()
     lists = [np.asarray(v, np.float64) for v in vectors.to_pylist()]
     sizes = np.array([len(v) for v in lists], int)
-    if not len(sizes) or not sizes.max():
-        return keys[:0], np.zeros((0, 0))
-    keep = sizes == np.bincount(sizes).argmax()
-    matrix = np.stack([v for v, ok in zip(lists, keep) if ok])
-    norm = np.linalg.norm(matrix, axis=1)
-    fine = norm > 0
-    return keys[keep][fine], matrix[fine] / norm[fine, None]
+    found = {}
+    for size in np.unique(sizes[sizes > 0]).tolist():
+        at = np.flatnonzero(sizes == size)
+        matrix = np.stack([lists[i] for i in at])
+        norm = np.linalg.norm(matrix, axis=1)
+        fine = norm > 0
+        if fine.any():
+            found[size] = keys[at][fine], matrix[fine] / norm[fine, None]
+    return found

@@ -88,3 +88,10 @@ def test_percentiles_by_integer_rank(spark):
     assert discrete_percentiles(tied, ["k"], "v", [85, 90]).first()[2:] == (3, 9)
     assert df.limit(0).transform(lambda d: discrete_percentiles(d, ["k"], "v", [50])).count() == 0
     assert discrete_percentiles(df.where(F.col("v") < 4), [], "v", [50]).first()["p50"] == 2
+
+
+def test_nearest_among_vectors_of_each_length(spark):
+    rows = [(i, [1.0, float(i)]) for i in range(6)] + [(10 + i, [1.0, float(i), 2.0]) for i in range(3)]
+    df = spark.createDataFrame(rows, "id long, v array<double>").coalesce(1)
+    got = nearest(df, "id", "v", df.where("id in (0, 10)"), k=2).orderBy("query_id", "place").collect()
+    assert [(r.query_id, r.neighbour_id) for r in got] == [(0, 1), (0, 2), (10, 11), (10, 12)]
