@@ -6,7 +6,6 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark import StorageLevel  # noqa: F401  (re-exported for callers that persist)
 from pyspark.sql import DataFrame, SparkSession
 
 #: Session settings every plan here relies on; sizes are left to the cluster.
@@ -44,16 +43,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 class Scratch:
     """Tables written to the shared folder, so that what was computed survives the loss of executors
-    and later plans start from files instead of a growing lineage."""
+    and later plans start from files instead of a growing lineage. clear_scratch deletes them all."""
+
+    roots: list[str] = []
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.root, self.count = spark, f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}", 0
+        Scratch.roots.append(self.root)
 
-    def save(self, df: DataFrame) -> DataFrame:
-        """Write ``df`` once and return it as read back from its files."""
+    def save(self, df: DataFrame, **options: str) -> DataFrame:
+        """Write ``df`` once, with writer ``options``, and return it as read back from its files."""
         self.count += 1
         path = f"{self.root}/{self.count}"
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
         saved = self.spark.read.schema(df.schema).parquet(path)
         saved._scratch_path = path
         return saved
@@ -62,6 +64,20 @@ class Scratch:
         """Delete a saved table that nothing will read any more."""
         path = getattr(df, "_scratch_path", None)
         if path:
-            jvm, hadoop = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(hadoop).delete(where, True)
+            _delete(self.spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm, hadoop = spark._jvm, spark._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(hadoop).delete(where, True)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete every folder that a Scratch of this process made in the shared folder, and tell how many.
+
+    For the end of a job: results read from scratch tables can't be read any more after it."""
+    made, Scratch.roots = Scratch.roots, []
+    for root in made:
+        _delete(spark, root)
+    return len(made)
