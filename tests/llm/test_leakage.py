@@ -1,6 +1,6 @@
 import random
 
-from plumbline.llm.leakage import leaked_passages, tokens
+from plumbline.llm.leakage import leaked_passages, positional_index, tokens
 
 RNG = random.Random(8)
 WORDS = [a + b + c for a in ("ba", "ko", "mi", "tu") for b in ("re", "lo", "na") for c in ("s", "t", "nd")]
@@ -49,7 +49,7 @@ def test_hits_equal_brute_force(spark):
     docs += [(200, HEAD + " " + sentence(10)), (201, None), (202, ""), (203, ITEMS[1][1]), (203_1, ITEMS[1][1])]
     got = search(spark, docs).collect()
     assert {(r.doc_id, r.item_id) for r in got} == brute(docs) and len(got) == len({(r.doc_id, r.item_id) for r in got})
-    blocks = search(spark, docs, block_items=4).collect()
+    blocks = search(spark, docs, block_tokens=100).collect()
     assert sorted(map(tuple, blocks)) == sorted(map(tuple, got))
 
 
@@ -67,3 +67,41 @@ def test_long_document_and_no_items(spark):
     docs, items = spark.createDataFrame([(1, long)], "doc_id long, text string"), spark.createDataFrame([], "item_id long, item_text string")
     assert leaked_passages(docs, "doc_id", "text", items, "item_id", "item_text").count() == 0
     assert leaked_passages(docs.limit(0), "doc_id", "text", spark.createDataFrame(ITEMS, items.schema), "item_id", "item_text").count() == 0
+
+
+def test_left_out_and_put_in_words(spark):
+    docs, wanted = [], set()
+    for d in range(400):
+        i = d % 12
+        own = ITEMS[i][1].split(". ", 1)[-1].rstrip(".").split()
+        a = RNG.randrange(0, 20)
+        part = own[a : a + RNG.randrange(16, 21)]
+        for k, at in enumerate(RNG.sample(range(3, len(part) - 3), RNG.randrange(0, 3))):
+            kind = RNG.choice(("put", "leave", "swap", "two"))
+            part[at] = {"put": f"{part[at]} qqq{k}", "leave": "", "swap": "qqq", "two": "qq-rr"}[kind]
+        docs.append((d, f"{sentence(20)} {' '.join(part)} {sentence(20)}"))
+        wanted.add((d, i))
+    got = {(r.doc_id, r.item_id) for r in search(spark, docs).collect()}
+    assert len(wanted & got) >= 0.99 * len(wanted) and not got - wanted
+
+
+def test_index_holds_every_token_at_its_place(spark):
+    texts = [(1, "One two, one."), (2, ""), (3, "two 雾港 two"), (4, None)]
+    rows = positional_index(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1), "doc_id", "text").collect()
+    papers = [r for r in rows if r.token is None]
+    assert [list(zip(r.docs, r.gaps)) for r in papers] == [[(1, 3), (2, 0), (3, 4), (4, 0)]]
+    places = {r.token: [sum(r.gaps[: k + 1]) for k in range(r.n)] for r in rows if r.token is not None}
+    assert places == {"one": [0, 2], "two": [1, 19, 22], "雾": [20], "港": [21]}
+
+
+def test_pieces_of_long_items_and_heads_after_blanks(spark, monkeypatch):
+    import plumbline.llm.leakage as leakage
+
+    monkeypatch.setattr(leakage, "PIECE", 100)
+    body = [sentence(30) for _ in range(5)]
+    items = spark.createDataFrame([(k, f"\n {HEAD}\n{b}") for k, b in enumerate(body)] + [(9, sentence(400))], "item_id long, item_text string")
+    long = items.where("item_id = 9").first().item_text.split()
+    docs = spark.createDataFrame([(k, b) for k, b in enumerate(body)] + [(7, f"{HEAD} {sentence(9)}"), (8, " ".join(long[150:190]))], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.length, r.start) for r in leaked_passages(docs, "doc_id", "text", items, "item_id", "item_text").collect()}
+    assert set(got) == {(k, k) for k in range(5)} | {(8, 9)}
+    assert got[8, 9] == (40, 150)
