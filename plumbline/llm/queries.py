@@ -12,6 +12,7 @@ from plumbline.llm.canonical import formatting_duplicates, formatting_groups
 from plumbline.llm.consensus import Consensus, agreement_of, consensus
 from plumbline.llm.defects import answer_defects
 from plumbline.llm.groups import linked_groups
+from plumbline.llm.languages import fit_profiles
 from plumbline.llm.leakage import leaked_passages
 from plumbline.llm.mixing import Mix, mix_sources
 from plumbline.llm.ranking import global_ranking
@@ -133,7 +134,8 @@ def p5_defects(spark: SparkSession, sf: str) -> DataFrame:
     asked = table(spark, sf, "query_item").select("query_id", "raw_query", "dm")
     asked = current_rows(asked, "query_id", "dm").select("query_id", "raw_query")
     pairs = current_rows(answers, "answer_id", "generated_at").join(asked, "query_id", "left")
-    return answer_defects(pairs, "answer_content", "raw_query", "generation_metadata").select("answer_id", "query_id", "defects", "defect")
+    profiles = fit_profiles(table(spark, sf, "documents"), "doc_id", "text", "lang")
+    return answer_defects(pairs, "answer_content", "raw_query", "generation_metadata", profiles).select("answer_id", "query_id", "defects", "defect")
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:

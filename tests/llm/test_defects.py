@@ -1,6 +1,7 @@
 import pytest
 
 from plumbline.llm.defects import answer_defects, defects_of
+from plumbline.llm.languages import Profiles, fit_profiles, language, script
 
 Q = "How do I beat Gorofima with 12 potions?"
 CASES = [
@@ -36,13 +37,32 @@ CASES = [
     ("Bring at least 12 charges. 🙂", Q, []),
     ("Bring at least 12 charges. [1]", Q, []),
     ("Bring at least 12 charges.\n- Iron shield\n- Two rings", Q, []),
+    ("42", Q, []),
+    ("Paris is the capital of France", "What is the capital of France?", []),
+    ("Paris is the", "What is the capital of France?", ["truncated"]),
+    ("The king fell :( but came back.", Q, []),
+    ("Use this:\n```\nrun()\n```", Q, []),
+    ("Go on.\n- Bring a shield.\n- Keep the keys.\n- Then go", Q, ["truncated"]),
+    ("Go on.\n- Escudo de hierro\n- Escudo de hi", "Qué equipo sirve contra el jefe?", ["truncated"]),
+    ("Лучше всего идти туда ночью.", Q, ["wrong_language"]),
+    ("そこへ行くには夜がいいです。", Q, ["wrong_language"]),
+    ("밤에 가는 것이 좋습니다.", "怎么打赢这个首领？", ["wrong_language"]),
+    ("Bring a shield and wait for the bell.", "Cómo derroto al jefe con pociones?", ["wrong_language"]),
+    ("Il faut attendre la nuit pour cela.", Q, ["wrong_language"]),
+    ("That request is something we aren't permitted to fulfil.", Q, ["refusal"]),
+    ("We are not able to assist with this request.", Q, ["refusal"]),
+    ("I’m not able to assist with requests of this type. If you need support, ask the desk.", Q, ["refusal"]),
+    ("Je ne peux malheureusement pas répondre à cette question.", "Comment battre le chef avec des potions ?", ["refusal"]),
+    ("Não posso ajudar com isso.", "Como derroto o chefe com as poções?", ["refusal"]),
+    ("申し訳ありませんが、その質問にはお答えできません。", "そこへ行くにはどうすればいいですか？", ["refusal"]),
+    ("Извините, я не могу ответить на этот вопрос.", "Как победить босса?", ["refusal"]),
 ]
 
 
 @pytest.mark.parametrize("answer,question,wanted", CASES)
 def test_rules(answer, question, wanted):
-    assert defects_of(answer, question)[: len(wanted) or None] == wanted or defects_of(answer, question) == wanted
-    assert bool(defects_of(answer, question)) == bool(wanted)
+    found = defects_of(answer, question)[0]
+    assert found[: len(wanted)] == wanted and bool(found) == bool(wanted)
 
 
 def test_every_type_is_told(spark):
@@ -54,6 +74,7 @@ def test_every_type_is_told(spark):
 
 def test_cut_list_entry(spark):
     texts = [f"Go left at gate {i}.\n- Iron shield\n- Two rings" for i in range(4)] + ["Go right.\n- Two rings\n- Iron sh", "Go on.\n- Two rings\n- Iron shield"]
+    # 'sh' is no word of any answer, but begins one.
     df = spark.createDataFrame([(i, t, "Where do I go?") for i, t in enumerate(texts)], "id int, a string, q string")
     assert [r.id for r in answer_defects(df, "a", "q").where("defect = 'truncated'").collect()] == [4]
 
@@ -75,5 +96,16 @@ def test_cut_entry_that_no_other_answer_has(spark):
 
 
 def test_language_of_a_field_query_is_told_by_its_text():
-    assert defects_of("Der Drache ist schwach gegen Feuer.", "game=Tide; ask=Schwachstelle; level=3") == []
-    assert defects_of("Der Drache ist schwach gegen Feuer.", "game=Tide; ask=where is the weak point; level=3") == ["wrong_language"]
+    assert defects_of("Der Drache ist schwach gegen Feuer.", "game=Tide; ask=Schwachstelle; level=3")[0] == []
+    assert defects_of("Der Drache ist schwach gegen Feuer.", "game=Tide; ask=where is the weak point; level=3")[0] == ["wrong_language"]
+
+
+def test_scripts_and_profiles(spark):
+    assert [script(t) for t in ("12", "abc", "去雾港 abc", "идти", "夜がいい", "밤에")] == [None, "latin", "zh", "cyrillic", "ja", "ko"]
+    words = {"en": "where shall weak points stand beneath thick stones", "de": "schwachstelle hinter dicken steinen suchen gehen"}
+    docs = [(k, t, n if k % 2 else f" {n.upper()} ") for n, t in words.items() for k in range(100, 160)] + [(1, None, "en"), (2, "x", None), (3, "hola", "es")]
+    profiles = fit_profiles(spark.createDataFrame(docs, "doc_id int, text string, lang string"), "doc_id", "text", "lang")
+    assert set(profiles.triples) == {"en", "de"}
+    assert language("weak points", profiles) == "en" and language("schwachstelle suchen", profiles) == "de"
+    assert language("weak points", Profiles()) is None and language("zzxx qqyy", profiles) is None
+    assert fit_profiles(spark.createDataFrame([], "doc_id int, text string, lang string"), "doc_id", "text", "lang").triples == {}
