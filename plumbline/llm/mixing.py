@@ -48,7 +48,8 @@ def sainte_lague(weights: list[float], seats: int, limits: list[float] | None =
 @dataclass
 class Mix:
     """records: the records taken, with copies (how often). report: per target source its target and
-    actual share, tokens and the shortfall if even all its repeats hold fewer tokens than its target."""
+    actual share and tokens. A source is short, by its missing tokens, if the mix took all its repeats and
+    these hold fewer tokens than its target."""
 
     records: DataFrame
     report: DataFrame
@@ -62,10 +63,10 @@ def mix_sources(
 
     Blocks that a source can't give go to the others by their quotients, so the total is kept while any
     source has room. A record counts by the tokens it holds and is taken whole, the last one if at least
-    half of it fits: each source holds up to one block and half a record to its apportioned tokens. NULL sources, sources without a target and records of no tokens aren't taken; a
-    target source without records gets its report row with 0 tokens. A NULL share counts as 0, NULL
-    repeats as 1. ``targets`` holds one row per source and is read
-    by the driver."""
+    half of it fits: each source holds up to one block and half a record to its apportioned tokens. NULL
+    sources, sources without a target and records of no tokens aren't taken; a target source without
+    records gets its report row with 0 tokens. A NULL share counts as 0, NULL repeats as 1. ``targets``
+    holds one row per source and is read by the driver."""
     spark = records.sparkSession
     scratch = Scratch(spark, "mixing")
     wanted = targets.groupBy("source").agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"), F.max("total_tokens").alias("total_tokens"))
@@ -82,8 +83,14 @@ def mix_sources(
     plan = wanted.orderBy("source").collect()  # one row per source
     seats = -(-(plan[0]["total_tokens"] if plan else 0) // block_tokens)
     reach = [r["max_repeats"] * held.get(r["source"], 0) for r in plan]
-    given = sainte_lague([r["target_share"] for r in plan], seats, [float(-(-n // block_tokens)) for n in reach])
-    quota = [(r["source"], min(n * block_tokens, most), held[r["source"]]) for r, n, most in zip(plan, given, reach) if r["source"] in held]
+    limits = [-(-n // block_tokens) for n in reach]
+    given = sainte_lague([r["target_share"] for r in plan], seats, [float(n) for n in limits])
+    quota = []
+    for r, n, top, most in zip(plan, given, limits, reach):
+        if r["source"] in held:
+            # A source whose seats end within a block of all it holds gives that last block too, if its target asks for it.
+            whole = top - n <= 1 and most <= r["target_share"] * r["total_tokens"]
+            quota.append((r["source"], most if whole else min(n * block_tokens, most), held[r["source"]]))
     quota = spark.createDataFrame(quota, "source string, quota bigint, whole bigint")
     # One row per shard, of which a source has its records / shard_records.
     before = F.sum("held").over(Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)) - F.col("held")
@@ -98,9 +105,11 @@ def mix_sources(
     all_tokens = F.sum("selected_tokens").over(Window.partitionBy(F.lit(1)))
     target = F.col("target_share") * F.col("total_tokens")
     reach = F.col("max_repeats") * F.col("available_tokens")
+    spent = F.col("selected_tokens") == reach
     report = report.select(
         "source", "target_share", target.alias("target_tokens"), "max_repeats", "available_tokens", "selected_tokens",
         F.when(all_tokens > 0, F.col("selected_tokens") / all_tokens).alias("actual_share"),
-        F.greatest(target - reach, F.lit(0.0)).alias("missing_tokens"), (reach < target).alias("short"),
+        F.when(spent, F.greatest(target - F.col("selected_tokens"), F.lit(0.0))).otherwise(0.0).alias("missing_tokens"),
+        (spent & (F.col("selected_tokens") < target)).alias("short"),
     )
     return Mix(taken, report)

@@ -10,29 +10,29 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Fixed value: how byte-level vocabularies of this kind part a text before merging.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 @cache
-def _encoding(path: str):
+def _encoding(lines: bytes):
     import tiktoken
 
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines.splitlines())}
     return tiktoken.Encoding("counting", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def with_token_counts(df: DataFrame, text: str, out: str = "tokens", vocabulary: str = VOCABULARY) -> DataFrame:
+def with_token_counts(df: DataFrame, text: str, vocabulary: str, out: str = "tokens") -> DataFrame:
     """``df`` with the number of tokens of the whole text in place of the text; 0 for NULL and empty texts.
 
-    The vocabulary's file must lie at the same path on every executor."""
+    ``vocabulary`` is a file of ranks that the driver can read; its few megabytes are shipped to the executors."""
     rest = [c for c in df.columns if c not in (text, out)]
     schema = T.StructType([*(df.schema[c] for c in rest), T.StructField(out, T.LongType())])
+    with open(vocabulary, "rb") as held:
+        shipped = df.sparkSession.sparkContext.broadcast(held.read())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoding(vocabulary).encode_ordinary
+        encode = _encoding(shipped.value).encode_ordinary
         for batch in batches:
             n = pa.array([len(encode(t)) if t else 0 for t in batch.column(text).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), n], names=[*rest, out])
