@@ -29,6 +29,8 @@ RELIABLE = 0.655
 LEAST_VOTES = 30
 LEAST_TASKS = 10
 SLOW = {"p50": (0.5, 240), "p90": (0.9, 1200)}
+#: The vocabulary that counts tokens, unless the session names another file by this setting.
+VOCABULARY_SETTING, VOCABULARY = "spark.plumbline.vocabulary", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 
 
 ITEM = ["content_id", "eval_dim_key"]
@@ -105,7 +107,7 @@ def _time_quantiles(spark: SparkSession, sf: str) -> DataFrame:
     days = quantiles.summarise(_answer_times(spark, sf), ["content_id", "day"], "seconds")
     chunk = F.xxhash64("day", "chunk").alias("chunk")
     parts = days.select("content_id", chunk, "v", "g", "d")
-    whole = quantiles.merge(parts, ["content_id"])
+    whole = quantiles.merged(parts, ["content_id"])
     return quantiles.quantiles(whole, ["content_id"], {k: p for k, (p, _) in SLOW.items()} | {"p99": 0.99})
 
 
@@ -144,12 +146,12 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _sample(spark: SparkSession, sf: str) -> Sample:
-    queries = current_rows(table(spark, sf, "query_item").select("query_id", "category", "dm"), "query_id", "dm")
-    return sample_to_targets(queries, "query_id", "category", table(spark, sf, "sample_targets"))
+    queries = current_rows(table(spark, sf, "query_item").select("query_id", "category", "game_id", "dm"), "query_id", "dm")
+    return sample_to_targets(queries, "query_id", "category", table(spark, sf, "sample_targets"), ["game_id"])
 
 
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
-    """Categories with fewer queries than needed."""
+    """Categories that were drawn whole and still hold fewer queries than needed."""
     return _sample(spark, sf).report.where("gap > 0").select("category")
 
 
@@ -163,6 +165,16 @@ def p6_report(spark: SparkSession, sf: str) -> DataFrame:
     return _sample(spark, sf).report
 
 
+def p6_shortfalls(spark: SparkSession, sf: str) -> DataFrame:
+    """The part of the report that doesn't depend on the draw."""
+    return _sample(spark, sf).report.select("category", "target_share", "min_count", "needed", "available", "gap")
+
+
+def p6_games(spark: SparkSession, sf: str) -> DataFrame:
+    """Share of each game among the queries that may be drawn, and in the sample."""
+    return _sample(spark, sf).margins
+
+
 def _queries(spark: SparkSession, sf: str) -> DataFrame:
     return current_rows(table(spark, sf, "query_item").select("query_id", "raw_query", "dm"), "query_id", "dm")
 
@@ -188,12 +200,13 @@ def p8_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _mix(spark: SparkSession, sf: str) -> Mix:
-    documents = with_token_counts(table(spark, sf, "documents").select("doc_id", "source", "text"), "text")
+    vocabulary = spark.conf.get(VOCABULARY_SETTING, VOCABULARY)
+    documents = with_token_counts(table(spark, sf, "documents").select("doc_id", "source", "text"), "text", vocabulary)
     return mix_sources(documents, "doc_id", "source", "tokens", table(spark, sf, "mix_targets"))
 
 
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
-    """Sources that hold too few tokens for their share even with all repeats."""
+    """Sources of which the mix took all repeats without reaching their share."""
     return _mix(spark, sf).report.where("short").select("source")
 
 
@@ -222,7 +235,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Queries by name."""
     listed = (
         p1_found, p1_consensus, p1_agreement, p2_found, p2_groups, p3_found, p3_ranking, p4_found, p4_percentiles, p4_day_summaries,
-        p5_found, p5_defects, p6_found, p6_sample, p6_report, p7_found, p7_duplicates, p8_found, p8_leaks, p9_found, p9_mix, p9_report,
+        p5_found, p5_defects, p6_found, p6_sample, p6_report, p6_shortfalls, p6_games, p7_found, p7_duplicates, p8_found, p8_leaks, p9_found, p9_mix, p9_report,
         p10_found, p10_grades,
     )
     return {f.__name__: f for f in listed}
