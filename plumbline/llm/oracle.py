@@ -73,6 +73,15 @@ def oracle_sql() -> dict[str, str]:
               FROM times GROUP BY content_id HAVING count(*) >= 10)
             SELECT content_id, 'p50' AS measure FROM q WHERE p50 > 240
             UNION ALL SELECT content_id, 'p90' FROM q WHERE p90 > 1200""",
+        "p4_percentiles": f"""WITH {TIMES} SELECT content_id, count(*) AS n, 0 AS rank_error, quantile_cont(seconds, 0.5) AS p50,
+              quantile_cont(seconds, 0.9) AS p90, quantile_cont(seconds, 0.99) AS p99 FROM times GROUP BY content_id""",
         "p6_found": f"WITH {CATEGORIES} SELECT category FROM wanted LEFT JOIN available ON cat = lower(trim(category)) WHERE coalesce(n, 0) < needed",
+        "p6_shortfalls": f"""WITH {CATEGORIES}
+            SELECT w.category, target_share, min_count, needed::BIGINT AS needed, coalesce(n, 0) AS available, greatest(needed - coalesce(n, 0), 0)::BIGINT AS gap
+            FROM wanted w JOIN sample_targets USING (category) LEFT JOIN available ON cat = lower(trim(w.category))""",
+        "p7_duplicates": f"""WITH {CANONICAL} SELECT min(query_id) AS group_id, count(*) AS copies, count(DISTINCT raw) AS writings
+            FROM canonical JOIN (SELECT query_id, raw_query AS raw FROM (
+              SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY dm DESC) AS place FROM query_item) WHERE place = 1) USING (query_id)
+            WHERE c IS NOT NULL GROUP BY c""",
         "p7_found": f"WITH {CANONICAL} SELECT query_id, group_id FROM grouped WHERE copies > 1",
     }

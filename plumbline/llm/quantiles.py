@@ -8,15 +8,19 @@ quantiles are exact."""
 
 from __future__ import annotations
 
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Levels at which a summary is compressed: within a task, in the salted merge, in the final merge.
-LEVELS = 3
+from plumbline.session import Scratch
+
+#: Levels at which a summary is compressed, among which the permitted error is divided: within a task, in
+#: sets of a hot key, per key, and, where stored summaries are put together, again in sets and per key.
+LEVELS = 5
+#: Tuples of a key beyond which it is merged in sets first, so that no task holds many more.
+HOT = 200_000
 TUPLE = "v double, g bigint, d bigint"
 
 
@@ -115,8 +119,8 @@ def summarise(df: DataFrame, keys: list[str], value: str, error: float = 0.005)
 
 def merge(parts: DataFrame, keys: list[str], error: float = 0.005, salts: int = 1) -> DataFrame:
     """One summary per value of ``keys`` from summaries (keys, chunk, v, g, d), for instance of the days
-    of a key. With ``salts`` above 1, chunks are merged in so many sets per key first, so that a key with
-    summaries from very many tasks isn't merged in one; the result then has one chunk per set."""
+    of a key. With ``salts`` above 1, chunks are merged in so many sets per key, and the result has one
+    chunk per set. See merged for keys with summaries from very many tasks."""
     step = error / LEVELS
     salt = F.pmod(F.xxhash64("chunk"), F.lit(salts))
     by = [F.col(c) for c in keys] + ([salt] if salts > 1 else [])
@@ -131,7 +135,7 @@ def merge(parts: DataFrame, keys: list[str], error: float = 0.005, salts: int =
             codes, _ = _codes(table, [*keys, "_set"])
             chunk, v, g, d = (table.column(c).to_numpy() for c in ("chunk", "v", "g", "d"))
             group, v, g, d = _compress(*_merge(codes, chunk, v, g, d), step)
-            sets = np.zeros(codes.max() + 1, np.int64)
+            sets = np.zeros(codes.max() + 1 if len(codes) else 0, np.int64)
             sets[codes] = table.column("_set").to_numpy()
             return _flat(table, keys, np.arange(len(codes)), codes, group, {"chunk": sets[group], "v": v, "g": g, "d": d})
 
@@ -153,10 +157,23 @@ def merge(parts: DataFrame, keys: list[str], error: float = 0.005, salts: int =
     return rows.mapInArrow(combine, f"{kinds}, chunk bigint, {TUPLE}")
 
 
-def summaries(df: DataFrame, keys: list[str], value: str, error: float = 0.005, salts: int = 16) -> DataFrame:
-    """One summary per value of ``keys``: made in each task, merged in ``salts`` sets, then to one."""
-    parts = summarise(df, keys, value, error)
-    return merge(merge(parts, keys, error, salts) if salts > 1 else parts, keys, error)
+def merged(parts: DataFrame, keys: list[str], error: float = 0.005, hot: int = HOT) -> DataFrame:
+    """One summary per value of ``keys``, as merge gives, also where a key has very many tuples: those keys
+    are told by a count, and merged in sets of about ``hot`` tuples first. The parts are stored for this."""
+    parts = Scratch(parts.sparkSession, "quantiles").save(parts.select(*keys, "chunk", "v", "g", "d"))
+    many = parts.groupBy(*keys).agg(F.count("*").alias("_tuples")).where(F.col("_tuples") > hot)
+    most = many.agg(F.max("_tuples")).first()[0]
+    if most:
+        named = many.withColumnsRenamed({c: f"_hot_{c}" for c in keys})
+        same = [parts[c].eqNullSafe(named[f"_hot_{c}"]) for c in keys]
+        large = merge(parts.join(named, same, "left_semi"), keys, error, salts=-(-most // hot) + 1)
+        parts = parts.join(named, same, "left_anti").unionByName(large)
+    return merge(parts, keys, error)
+
+
+def summaries(df: DataFrame, keys: list[str], value: str, error: float = 0.005, hot: int = HOT) -> DataFrame:
+    """One summary per value of ``keys``: made in each task, then merged."""
+    return merged(summarise(df, keys, value, error), keys, error, hot)
 
 
 def packed(flat: DataFrame, keys: list[str]) -> DataFrame:

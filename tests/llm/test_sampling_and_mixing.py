@@ -5,7 +5,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from plumbline.llm.mixing import mix_sources, sainte_lague
-from plumbline.llm.sampling import _fight, allocate, sample_to_targets, tilt
+from plumbline.llm.sampling import _fight, allocate, calibrate, sample_to_targets, tilt
+from plumbline.llm.queries import VOCABULARY
 from plumbline.llm.tokenizing import with_token_counts
 
 TARGETS = "category string, target_share double, min_count long, sample_size long"
@@ -116,5 +117,63 @@ def test_mix_of_nothing(spark):
 
 def test_token_counts(spark):
     df = spark.createDataFrame([(1, "Hello world"), (2, ""), (3, None), (4, "<|endoftext|>")], "id long, text string")
-    got = {r.id: r.tokens for r in with_token_counts(df, "text").collect()}
+    got = {r.id: r.tokens for r in with_token_counts(df, "text", VOCABULARY).collect()}
     assert got[1] == 2 and got[2] == got[3] == 0 and got[4] > 1
+
+
+def test_rounds_of_buckets_and_margins(spark, monkeypatch):
+    """Categories are drawn far off their shares; the margin keeps its own, and nothing depends on rounds' sizes."""
+    import plumbline.llm.sampling as sampling
+
+    monkeypatch.setattr(sampling, "FAN_IN", 3)
+    rng = np.random.default_rng(5)
+    kind = rng.choice(["a", "b", "c"], 6000, p=[0.7, 0.2, 0.1])
+    game = np.where(rng.random(6000) < np.where(kind == "a", 0.8, 0.3), "x", "y")
+    df = spark.createDataFrame([(i, str(k), None if i % 50 == 0 else str(g)) for i, (k, g) in enumerate(zip(kind, game))], "id long, c string, g string")
+    targets = spark.createDataFrame([("a", 0.2, 1, 600), ("b", 0.5, 1, 600), ("c", 0.3, 1, 600)], TARGETS)
+    found = sample_to_targets(df, "id", "c", targets, ["g"], bucket_records=200)
+    drawn = {r.category: r.drawn for r in found.report.collect()}
+    assert drawn == {"a": 120, "b": 300, "c": 180}
+    ids = [r.id for r in found.records.collect()]
+    assert len(ids) == len(set(ids)) == 600
+    for r in found.margins.collect():
+        assert abs(r.share - r.sample_share) < 0.01, r
+
+
+def test_calibration_is_needed_for_margins():
+    """Without the dual the margin would be off: its goals and those of the categories are met together."""
+    counts, category, margin = np.array([700.0, 100, 50, 150]), np.array([0, 0, 1, 1]), np.array([1, 2, 1, 2])
+    p = calibrate(counts, category, np.array([40.0, 60]), [margin])
+    assert np.allclose(np.bincount(category, counts * p), [40, 60], atol=1e-6)
+    assert np.allclose(np.bincount(margin, counts * p)[1:], [75, 25], atol=1) and (p <= 1).all()
+    full = calibrate(np.array([5.0, 100, 10]), np.array([0, 0, 1]), np.array([60.0, 10]), [np.array([1, 2, 1])])
+    assert full[2] == 1 and abs(5 * full[0] + 100 * full[1] - 60) < 1e-6
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 60), st.floats(0.01, 1), st.integers(0, 20)), min_size=1, max_size=6), st.integers(1, 150))
+def test_a_category_is_drawn_whole_if_it_holds_too_few(rows, size):
+    available, shares, floors = (np.array(x, float) for x in zip(*rows))
+    shares = shares / shares.sum()
+    needed = np.maximum(np.ceil(np.round(shares * size, 6)), floors)
+    goals = allocate(available, shares, floors, size, needed)
+    assert (goals <= available + 1e-9).all() and (goals[available < needed] == available[available < needed]).all()
+
+
+@pytest.mark.parametrize("shard_records", [40, 50_000])
+def test_mix_of_random_sources(spark, shard_records):
+    rng = np.random.default_rng(shard_records)
+    rows, targets = [], []
+    for s, (n, long, share, repeats) in enumerate([(400, 100, 0.3, 2), (60, 3000, 0.3, 1), (30, 50, 0.2, 3), (500, 400, 0.2, 1)]):
+        rows += [(1000 * s + i, f"s{s}", int(x)) for i, x in enumerate(rng.integers(1, 2 * long, n))]
+        targets.append((f"s{s}", share, repeats, 60_000))
+    df = spark.createDataFrame(rows, "id long, source string, tokens long")
+    mix = mix_sources(df, "id", "source", "tokens", spark.createDataFrame(targets, "source string, target_share double, max_repeats long, total_tokens long"), block_tokens=100, shard_records=shard_records)
+    report = {r.source: r for r in mix.report.collect()}
+    for name, share, repeats, total in targets:
+        r, own = report[name], [t for _, s, t in rows if s == name]
+        assert r.available_tokens == sum(own) and r.short == (repeats * sum(own) < share * total)
+        assert r.selected_tokens <= repeats * sum(own)
+        if r.short:
+            assert r.selected_tokens == repeats * sum(own)
+    assert abs(sum(r.selected_tokens for r in report.values()) - 60_000) <= 4 * 100 + 6000 / 2 + 400
