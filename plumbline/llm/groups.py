@@ -63,8 +63,9 @@ def linked_groups(pairs: DataFrame, a: str, b: str, shrink: float = 0.1, max_rou
         removed = removed.union(layer.select("v"))
     labels = scratch.save(vertices.join(removed, vertices["vertex"] == removed["v"], "left_anti").select(F.col("vertex").alias("v"), F.col("vertex").alias("root")))
     for layer in reversed(gone):
+        # Only the layer's own labels are written; a layer's parents may be in any later one.
         found = layer.join(labels.withColumnRenamed("v", "parent"), "parent").select("v", "root")
-        labels = scratch.save(labels.unionByName(found))
+        labels = labels.unionByName(scratch.save(found))
     smallest = labels.groupBy("root").agg(F.min("v").alias("group_id"))
     return labels.join(smallest, "root").select(F.col("v").alias("vertex"), "group_id")
 
