@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.groups import linked_groups
 from plumbline.session import Scratch
+from plumbline.sources.tables import BROADCAST_ROWS, bounded
 
 
 def global_ranking(
@@ -75,7 +76,7 @@ def global_ranking(
             raise RuntimeError(f"the strengths of {n} items still move by {moved} after {iterations} iterations")
         return pd.DataFrame({"g": pdf["g"].iloc[0], "i": names, "p": p / p.sum(), "items": n})
 
-    small = _join(pairs, F.broadcast(sizes.where(F.col("items") <= dense_items)), "g").drop("items")
+    small = _join(pairs, bounded(sizes.where(F.col("items") <= dense_items)), "g").drop("items")
     chain = small.groupBy("g").applyInPandas(solve, f"g {g_kind}, i {kind}, p double, items bigint")
     large = sizes.where(F.col("items") > dense_items)
     if not large.isEmpty():
@@ -101,7 +102,7 @@ def _placed(scored: DataFrame) -> DataFrame:
     parts = numbered.groupBy("g", "part").agg(F.max("_at").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("g").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = parts.select("g", "part", before.alias("_before"))
-    return _join(numbered, F.broadcast(starts), "g", "part").withColumn("rank_no", (F.col("_before") + F.col("_at")).cast("bigint"))
+    return _join(numbered, bounded(starts), "g", "part").withColumn("rank_no", (F.col("_before") + F.col("_at")).cast("bigint"))
 
 
 def _sparse(scratch: Scratch, pairs: DataFrame, large: DataFrame, smoothing: float, tolerance: float, iterations: int, history: int) -> DataFrame:
@@ -112,13 +113,13 @@ def _sparse(scratch: Scratch, pairs: DataFrame, large: DataFrame, smoothing: flo
     step's table holds these, and the table before is deleted."""
     spark = pairs.sparkSession
     rate = (F.col("n") - F.col("won") + smoothing) / (F.col("n") + 2 * smoothing)
-    rates = scratch.save(_join(pairs, F.broadcast(large), "g").select("g", "i", "j", rate.alias("r"), "items"))
+    rates = scratch.save(_join(pairs, bounded(large), "g").select("g", "i", "j", rate.alias("r"), "items"))
     nodes = rates.groupBy("g", "i").agg(F.sum("r").alias("out"), F.first("items").alias("items"))
     nodes = scratch.save(nodes.withColumn("id", F.monotonically_increasing_id()))
     groups = scratch.save(nodes.groupBy("g").agg(F.sum("out").alias("all_out")).withColumn("gid", F.monotonically_increasing_id()))
     left = _join(rates, nodes.select("g", "i", "id", "out"), "g", "i").select("g", F.col("j").alias("i"), F.col("id").alias("a"), (F.col("r") / F.col("out")).alias("r"))
     moves = scratch.save(_join(left, nodes.select("g", "i", "id"), "g", "i").select("a", F.col("id").alias("b"), "r"))
-    start = _join(nodes, F.broadcast(groups), "g").select("id", "gid", (F.col("out") / F.col("all_out")).alias("y"))
+    start = _join(nodes, bounded(groups), "g").select("id", "gid", (F.col("out") / F.col("all_out")).alias("y"))
     empty = F.array().cast("array<double>")
     y = scratch.save(start.select("id", "gid", "y", empty.alias("told"), empty.alias("off")))
     kept = y
@@ -139,7 +140,7 @@ def _sparse(scratch: Scratch, pairs: DataFrame, large: DataFrame, smoothing: flo
         shares = spark.createDataFrame([(r["gid"], _shares(r["products"], at, n)) for r in sums], "gid bigint, shares array<double>")
         mixed = F.aggregate(F.zip_with("told", "shares", lambda x, s: x * s), F.lit(0.0), lambda a, x: a + x)
         # A mix may leave the positive numbers; a quarter of the plain step is the least.
-        y = done.join(F.broadcast(shares), "gid").select("id", "gid", F.greatest(mixed, F.col("told")[0] / 4).alias("y"), "told", "off")
+        y = done.join(F.broadcast(shares) if len(sums) <= BROADCAST_ROWS else shares, "gid").select("id", "gid", F.greatest(mixed, F.col("told")[0] / 4).alias("y"), "told", "off")
     else:
         raise RuntimeError(f"the strengths of a group still move by {moved} after {iterations} iterations")
     # Each part without comparisons to others has its share of probability.
