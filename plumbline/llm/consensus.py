@@ -6,10 +6,10 @@ matrices from the posteriors; rows are smoothed towards the matrix of all annota
 
 Votes are packed once: one row per item with its votes as integers (annotator * labels + label).
 An iteration is then one pass over these rows. It needs the matrices, which are broadcast as
-annotators x labels^2 doubles while they fit ``broadcast_mb``; beyond that the same steps run as joins
-and aggregations of DataFrames. Items with more than ``hot`` votes aren't packed: their votes stay
-single rows in any partition, and their posteriors (there are at most votes / hot such items) are
-summed from partial sums."""
+annotators x labels^2 doubles. Items with more than ``hot`` votes aren't packed: their votes stay single
+rows in any partition, and their posteriors are summed from partial sums and broadcast. Where matrices,
+annotators or hot items are more than the driver and the executors are to hold (``broadcast_mb``,
+MOST_PEOPLE, MOST_HOT), the same steps run as joins and aggregations of DataFrames, with the same result."""
 
 from __future__ import annotations
 
@@ -23,12 +23,15 @@ from pyspark.sql import types as T
 
 from plumbline.session import Scratch
 
+#: Annotators whose names, and items with very many votes whose posteriors, the driver holds at most.
+MOST_PEOPLE, MOST_HOT = 1_000_000, 20_000
+
 
 @dataclass
 class Consensus:
     """items: item columns, label, probability, votes, agreement (share of agreeing pairs of votes, NULL
-    below two votes), label_votes and posterior (arrays in the order of ``labels``). annotators: annotator, votes, accuracy (expected share of right votes), matrix
-    (array of rows, in the order of ``labels``). agreement: one row with observed and expected agreement,
+    below two votes), label_votes and posterior (arrays in the order of ``labels``). annotators: annotator,
+    votes, accuracy (expected share of right votes), matrix (array of rows, in the order of ``labels``). agreement: one row with observed and expected agreement,
     Krippendorff's alpha for nominal labels, votes, items."""
 
     items: DataFrame
@@ -55,9 +58,9 @@ def consensus(
 
     Rows with a NULL annotator or label don't count; NULL is a value like any other in an item column.
     Repeated votes of an annotator on an item all count. Ties of posteriors go to the first label in
-    sorted order. An item with a value in the column ``known`` of its votes has that label for certain; its
-    votes tell of the annotators only. No votes give no items and annotators, and an agreement of NULLs. More than ``max_labels`` labels are refused, as the
-    matrices grow with their square."""
+    sorted order. An item with a value in the column ``known`` of its votes has that label for certain; its votes tell of the
+    annotators only. No votes give no items and annotators, and an agreement of NULLs. More than
+    ``max_labels`` labels are refused, as the matrices grow with their square."""
     spark = votes.sparkSession
     scratch = Scratch(spark, "consensus")
     keys = [f"_k{i}" for i in range(len(item))]
@@ -74,7 +77,11 @@ def consensus(
     if len(labels) > max_labels:
         raise ValueError(f"more than {max_labels} labels")
     k, n_people = max(1, len(labels)), people.count()
-    if n_people * k * k * 8 <= broadcast_mb * 1_000_000:
+    packs = n_people * k * k * 8 <= broadcast_mb * 1_000_000 and n_people <= MOST_PEOPLE
+    if packs and people.agg(F.sum("n")).first()[0]:
+        heavy = rows.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > hot)
+        packs = heavy.limit(MOST_HOT + 1).count() <= MOST_HOT
+    if packs:
         found = _packed(spark, scratch, rows, people, keys, labels, iterations, tolerance, smoothing, hot)
     else:
         found = _joined(scratch, rows, people, keys, labels, iterations, tolerance, smoothing)
@@ -165,7 +172,7 @@ def _packed(spark, scratch, rows, people, keys, labels, iterations, tolerance, s
     coded = rows.join(F.broadcast(index), "_who").select(*keys, "who", _coded("_label", labels).alias("named"), _coded("_known", labels).alias("known"))
     counts = coded.groupBy(*keys).agg(F.count("*").alias("n"), F.max("known").alias("known")).where(F.col("n") > hot).drop("n")
     hot_items = scratch.save(counts)
-    hot_rows = hot_items.orderBy(*keys).collect()  # at most votes / hot rows
+    hot_rows = hot_items.orderBy(*keys).collect()  # at most MOST_HOT rows
     hot_keys, hot_known = [r[:-1] for r in hot_rows], np.array([r["known"] for r in hot_rows], int)
     cold = coded
     hot_votes = None
