@@ -11,7 +11,7 @@ from plumbline.session import Scratch
 FULL = "".join(chr(c + 0xFEE0) for c in range(0x21, 0x7F)) + "　 "
 HALF = "".join(chr(c) for c in range(0x21, 0x7F)) + "  "
 
-FIELD = r"(?s)^\s*[\p{L}_][\p{L}\p{N}_ .-]{0,60}[=:]\s*\S.*$"
+FIELD = r"(?s)^\s*[\p{L}_][\p{L}\p{N}_ .-]*[=:]\s*\S.*$"
 NAME = r"(?s)^([^=:]*)[=:]"
 
 
@@ -20,27 +20,33 @@ def letters(text: Column) -> Column:
     return F.regexp_replace(text, r"[^\p{L}\p{M}\p{N}]", "")
 
 
-def canonical(text: Column) -> Column:
-    """What is left of a text when letter case, width, white space, punctuation and symbols don't count.
+def with_canonical(df: DataFrame, text: str, out: str = "canonical") -> DataFrame:
+    """``df`` with what is left of a text when letter case, width, white space, punctuation and symbols don't count.
 
     A JSON object, and a list of two or more ``name=value`` or ``name: value`` entries parted by line
-    ends, ``;`` or ``|``, become the sorted list of their canonical names and values. NULL for a text
-    without any letter or digit."""
-    plain = F.lower(F.translate(text, FULL, HALF))
-    parts = F.filter(F.split(plain, r"[|;\r\n]+"), lambda x: F.trim(x) != "")
+    ends, ``;`` or ``|``, become the sorted list of their canonical names and values; fields of nested
+    objects are sorted too. An object of one field is its name and value, like the text that has these
+    only. NULL for a text without any letter or digit. The steps are columns of their own, so that
+    none is computed twice."""
+    plain, parts, fields, kept = F.col("_plain"), F.col("_parts"), F.col("_fields"), F.col("_kept")
     listed = (F.size(parts) > 1) & F.forall(parts, lambda x: x.rlike(FIELD))
     of_list = F.transform(parts, lambda x: F.concat(letters(F.regexp_extract(x, NAME, 1)), F.lit("="), letters(F.regexp_replace(x, NAME, ""))))
-    entries = F.map_entries(F.when(plain.rlike(r"(?s)^\s*\{.*\}\s*$"), F.from_json(plain, "map<string,string>")))
+    # A variant keeps the fields of its objects in order.
+    nested = F.when(plain.rlike(r"(?s)\{.*\{"), F.to_json(F.try_parse_json(plain)))
+    entries = F.map_entries(F.from_json(F.coalesce(nested, plain), "map<string,string>"))
     of_json = F.transform(entries, lambda e: F.concat(letters(e["key"]), F.lit("="), letters(F.coalesce(e["value"], F.lit("")))))
-    fields = F.coalesce(of_json, F.when(listed, of_list))
-    kept = F.array_sort(F.filter(fields, lambda x: x != "="))
-    return F.when(F.size(kept) > 0, F.concat(F.lit("{"), F.array_join(kept, "\n"))).otherwise(F.nullif(letters(plain), F.lit("")))
+    done = df.withColumn("_plain", F.lower(F.translate(text, FULL, HALF)))
+    done = done.withColumn("_parts", F.when(plain.rlike(r"[=:]"), F.filter(F.split(plain, r"[|;\r\n]+"), lambda x: F.trim(x) != "")))
+    done = done.withColumn("_fields", F.coalesce(F.when(plain.rlike(r"(?s)^\s*\{.*\}\s*$"), of_json), F.when(listed, of_list)))
+    done = done.withColumn("_kept", F.array_sort(F.filter(fields, lambda x: x != "=")))
+    joined = F.when(F.size(kept) == 1, F.replace(kept[0], F.lit("="))).when(F.size(kept) > 1, F.concat(F.lit("{"), F.array_join(kept, "\n")))
+    return done.withColumn(out, F.coalesce(joined, F.nullif(letters(plain), F.lit("")))).drop("_plain", "_parts", "_fields", "_kept")
 
 
 def formatting_duplicates(records: DataFrame, key: str, text: str) -> DataFrame:
     """(canonical, group_id, copies, writings): one row per distinct canonical text; group_id is its smallest
     key, copies counts its records, writings its distinct raw texts. See formatting_groups for members."""
-    return _grouped(records, key, text)[1]
+    return _grouped(records, key, text)[1].drop("digest")
 
 
 def formatting_groups(records: DataFrame, key: str, text: str) -> DataFrame:
@@ -48,18 +54,24 @@ def formatting_groups(records: DataFrame, key: str, text: str) -> DataFrame:
     key with the same canonical text. Records with a NULL key or text have no row.
 
     Byte-identical texts are counted first, so only distinct texts are made canonical; these are grouped
-    by their whole canonical text. Hot texts are combined before both shuffles; the join that hands the
-    group back to records of a hot text is split by the adaptive planner."""
+    by their whole canonical text. Hot texts are combined before both shuffles. Groups are handed back to
+    the texts and to the records by 128-bit digests, so that no text is shuffled for it; the join with
+    records of a hot text is split by the adaptive planner."""
     raw, groups = _grouped(records, key, text)
-    found = raw.join(groups, "canonical").select("raw", "group_id", "copies")
-    rows = records.select(F.col(key).alias("key"), F.col(text).alias("raw")).where("key is not null")
-    return rows.join(found, "raw").select(F.col("key").alias(key), "group_id", "copies")
+    found = raw.select("raw_digest", "digest").join(groups.select("digest", "group_id", "copies"), "digest").drop("digest")
+    rows = records.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("key"), _digest(F.col(text)).alias("raw_digest"))
+    return rows.join(found, "raw_digest").select(F.col("key").alias(key), "group_id", "copies")
+
+
+def _digest(text: Column) -> Column:
+    return F.unhex(F.md5(text))
 
 
 def _grouped(records: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     scratch = Scratch(records.sparkSession, "canonical")
     rows = records.select(F.col(key).alias("key"), F.col(text).alias("raw")).where("key is not null and raw is not null")
     raw = rows.groupBy("raw").agg(F.min("key").alias("first"), F.count("*").alias("copies"))
-    raw = scratch.save(raw.withColumn("canonical", canonical(F.col("raw"))).where("canonical is not null"))
-    groups = raw.groupBy("canonical").agg(F.min("first").alias("group_id"), F.sum("copies").alias("copies"), F.count("*").alias("writings"))
-    return raw.drop("copies"), groups
+    raw = with_canonical(raw, "raw").where("canonical is not null")
+    raw = scratch.save(raw.select(_digest(F.col("raw")).alias("raw_digest"), _digest(F.col("canonical")).alias("digest"), "canonical", "first", "copies"))
+    groups = raw.groupBy("canonical").agg(F.min("first").alias("group_id"), F.sum("copies").alias("copies"), F.count("*").alias("writings"), F.first("digest").alias("digest"))
+    return raw, groups

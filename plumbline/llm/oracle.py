@@ -47,14 +47,14 @@ told AS (
       WHEN regexp_full_match(t, '(?s)\s*\{{.*\}}\s*') AND json_valid(t) THEN
         list_transform(json_keys(t::JSON), lambda k: regexp_replace(k, '[^\p{{L}}\p{{M}}\p{{N}}]', '', 'g') || '=' ||
           regexp_replace(coalesce(json_extract_string(t::JSON, '$."' || k || '"'), ''), '[^\p{{L}}\p{{M}}\p{{N}}]', '', 'g'))
-      WHEN len(parts) > 1 AND len(list_filter(parts, lambda x: regexp_full_match(x, '(?s)\s*[\p{{L}}_][\p{{L}}\p{{N}}_ .-]{{0,60}}[=:]\s*\S.*'))) = len(parts) THEN
+      WHEN len(parts) > 1 AND len(list_filter(parts, lambda x: regexp_full_match(x, '(?s)\s*[\p{{L}}_][\p{{L}}\p{{N}}_ .-]*[=:]\s*\S.*'))) = len(parts) THEN
         list_transform(parts, lambda x: regexp_replace(regexp_extract(x, '(?s)^([^=:]*)[=:]', 1), '[^\p{{L}}\p{{M}}\p{{N}}]', '', 'g') || '=' ||
           regexp_replace(regexp_replace(x, '(?s)^[^=:]*[=:]', ''), '[^\p{{L}}\p{{M}}\p{{N}}]', '', 'g'))
     END AS fields
   FROM parted
 ),
 canonical AS (
-  SELECT query_id, coalesce('{{' || array_to_string(list_sort(fields), chr(10)), nullif(regexp_replace(t, '[^\p{{L}}\p{{M}}\p{{N}}]', '', 'g'), '')) AS c FROM told
+  SELECT query_id, coalesce(CASE WHEN len(fields) > 1 THEN '{{' || array_to_string(list_sort(fields), chr(10)) WHEN len(fields) = 1 THEN replace(fields[1], '=', '') END, nullif(regexp_replace(t, '[^\p{{L}}\p{{M}}\p{{N}}]', '', 'g'), '')) AS c FROM told
 ),
 grouped AS (
   SELECT query_id, min(query_id) OVER (PARTITION BY c) AS group_id, count(*) OVER (PARTITION BY c) AS copies FROM canonical WHERE c IS NOT NULL
@@ -83,5 +83,8 @@ def oracle_sql() -> dict[str, str]:
             FROM canonical JOIN (SELECT query_id, raw_query AS raw FROM (
               SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY dm DESC) AS place FROM query_item) WHERE place = 1) USING (query_id)
             WHERE c IS NOT NULL GROUP BY c""",
+        # The answer doesn't depend on how tokens are counted; here a token is 3.5 bytes.
+        "p9_found": """SELECT source FROM mix_targets LEFT JOIN (SELECT source, sum(strlen(text)) / 3.5 AS tokens FROM documents GROUP BY source) USING (source)
+            WHERE coalesce(tokens, 0) * max_repeats < target_share * total_tokens""",
         "p7_found": f"WITH {CANONICAL} SELECT query_id, group_id FROM grouped WHERE copies > 1",
     }

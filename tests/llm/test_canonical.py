@@ -1,7 +1,6 @@
 import pytest
-from pyspark.sql import functions as F
 
-from plumbline.llm.canonical import canonical, formatting_duplicates, formatting_groups
+from plumbline.llm.canonical import formatting_duplicates, formatting_groups, with_canonical
 
 SAME = [
     ("How do I win?", "  HOW do I, win"),
@@ -9,6 +8,9 @@ SAME = [
     ('{"game": "Tide", "level": "4"}', "level = 4; game = tide"),
     ("game：Tide | level：4", "LEVEL: 4\nGAME: TIDE"),
     ("怎么打，１２级？", "怎么打12级"),
+    ('{"a": {"x": 1, "y": {"p": 2, "q": 3}}, "b": 4}', '{"b": 4, "a": {"y": {"q": 3, "p": 2}, "x": 1}}'),
+    ('{"a": 1}', "A = 1"),
+    (f"{'long ' * 30}name: x; level: 4", f"Level = 4 | {'long ' * 30}name = x"),
     ("Straße über", "STRASSE über".replace("SS", "ß")),
 ]
 OTHER = [("a=1; b=2", "a=2; b=1"), ("ab", "ba"), ("Kurze Frage: wo", "wo: Kurze Frage"), ('{"a": "1"', '{"a": "2"'), ("12", "１３")]
@@ -16,7 +18,7 @@ OTHER = [("a=1; b=2", "a=2; b=1"), ("ab", "ba"), ("Kurze Frage: wo", "wo: Kurze
 
 def of(spark, *texts):
     df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
-    return [r[0] for r in df.orderBy("i").select(canonical(F.col("t"))).collect()]
+    return [r[0] for r in df.transform(lambda x: with_canonical(x, "t")).orderBy("i").select("canonical").collect()]
 
 
 @pytest.mark.parametrize("a,b", SAME)
