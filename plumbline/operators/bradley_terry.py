@@ -49,6 +49,13 @@ def matches_of(matrix: DataFrame, rate: str = "stratified_winrate") -> DataFrame
     return matrix.where(F.col(rate).isNotNull()).select("game_id", "eval_dim_key", "row_model", "col_model", n.alias("matches"), (F.col(rate) * n).alias("wins"), ((1 - F.col(rate)) * n).alias("losses"))
 
 
+def expanded_games(matches: DataFrame) -> DataFrame:
+    """A row per game that the wins and losses of a row stand for, rounded to even halves; ``winner`` is 'row' or 'col'."""
+    sides = F.array(F.struct(F.lit("row").alias("winner"), F.bround("wins").cast("int").alias("n")), F.struct(F.lit("col").alias("winner"), F.bround("losses").cast("int").alias("n")))
+    rows = matches.drop("winner").select("game_id", "eval_dim_key", "row_model", "col_model", F.inline(sides)).where("n > 0")
+    return rows.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("n")))).drop("_i", "n")
+
+
 def bt_ranking(matches: DataFrame, keys: list[str], most: int = 200) -> DataFrame:
     """(keys, rank, model, bt_strength, elo, matches, wins, win rate, converged, iterations) per group.
 

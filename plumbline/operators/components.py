@@ -31,14 +31,21 @@ def components(edges: DataFrame, a: str, b: str, max_rounds: int = 100) -> DataF
     raise RuntimeError(f"labels still move after {max_rounds} rounds")
 
 
-def mark_duplicates(records: DataFrame, key: str, text: str, groups: DataFrame) -> DataFrame:
+def mark_duplicates(records: DataFrame, key: str, text: str, groups: DataFrame, named: DataFrame | None = None) -> DataFrame:
     """Records with canonical id and status: the longest text of a group (the smallest key of equal ones)
     stands for it, the others are duplicates; ungrouped records stand for themselves.
 
-    ``groups`` is (id, component). A NULL text counts as of no length."""
+    ``groups`` is (id, component). A NULL text counts as of no length. ``named`` (component, told) has what an
+    injected judge names as a group's best text: its members whose text holds what was told, or lies
+    within it, come before longer ones."""
     joined = records.join(groups, F.col(key) == F.col("id"), "left").drop("id")
     size = F.coalesce(F.char_length(text), F.lit(0))
-    leaders = joined.where("component is not null").groupBy("component").agg(F.max(F.struct(size.alias("size"), (-F.col(key)).alias("neg"))).alias("best"))
+    meant = F.lit(False)
+    if named is not None:
+        joined = joined.join(named.groupBy("component").agg(F.max("told").alias("_told")), "component", "left")
+        own, told = F.lower(F.trim(text)), F.lower(F.trim("_told"))
+        meant = F.coalesce((told != "") & (own != "") & (own.contains(told) | told.contains(own)), F.lit(False))
+    leaders = joined.where("component is not null").groupBy("component").agg(F.max(F.struct(meant.alias("meant"), size.alias("size"), (-F.col(key)).alias("neg"))).alias("best"))
     leaders = leaders.select("component", (-F.col("best.neg")).alias("leader"))
     done = joined.join(leaders, "component", "left")
     canonical = F.coalesce("leader", F.col(key))
