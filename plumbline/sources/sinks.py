@@ -52,9 +52,17 @@ def next_ids(df: DataFrame, column: str) -> int:
     return (df.agg(F.max(column)).first()[0] or 0) + 1
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """A report as one CSV file with a header."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, mark: bool = False) -> None:
+    """A report as one CSV file with a header; with ``mark`` it begins with a byte order mark, as spreadsheets
+    expect. For frames that fit the driver in that case."""
+    if not mark:
+        df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+        return
+    spark, lines = df.sparkSession, df.toPandas().to_csv(index=False)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = where.getFileSystem(spark._jsc.hadoopConfiguration()).create(where, True)
+    out.write(bytearray(("\ufeff" + lines).encode("utf-8")))
+    out.close()
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -73,13 +81,52 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def markdown(df: DataFrame, title: str, rows: int = 200) -> str:
-    """A report table of the first rows; for frames that are a few rows long."""
-    lines = [f"## {title}", "", "| " + " | ".join(df.columns) + " |", "|" + " --- |" * len(df.columns)]
-    lines += ["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in df.limit(rows).collect()]
+def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Rows that write_json wrote, for instance the queries to try again; no rows if there is no such file."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).json(path)
+
+
+def markdown(df: DataFrame, title: str, decimals: dict[str, int] | None = None, usual: int = 3, within: list[str] | None = None) -> str:
+    """A report table of all rows, for frames that fit a page: numbers with a fraction have ``decimals`` places
+    by column, else ``usual``. With ``within`` columns there is one table per value of these, under its name."""
+    places = {f.name: (decimals or {}).get(f.name, usual) for f in df.schema.fields if f.dataType in (T.DoubleType(), T.FloatType())}
+    shown = [c for c in df.columns if c not in (within or [])]
+
+    def cell(name: str, value: object) -> str:
+        return "" if value is None else f"{value:.{places[name]}f}" if name in places else str(value)
+
+    lines, named = [f"## {title}"], None
+    for row in df.collect():
+        group = tuple(row[c] for c in within or [])
+        if group != named:
+            lines += ["", *([f"### {' / '.join('' if g is None else str(g) for g in group)}", ""] if within else []), "| " + " | ".join(shown) + " |", "|" + " --- |" * len(shown)]
+            named = group
+        lines.append("| " + " | ".join(cell(c, row[c]) for c in shown) + " |")
+    if named is None:
+        lines += ["", "| " + " | ".join(shown) + " |", "|" + " --- |" * len(shown)]
     return "\n".join(lines) + "\n"
 
 
+def table_name(base: str, mode: str = "formal") -> str:
+    """A table's name in a run: that of test runs has an ending of its own."""
+    return f"{base}_test" if mode.lower() == "test" else base
+
+
+def write_registry(spark: SparkSession, models: list[dict], path: str, dm: str) -> None:
+    """The registry of models of a month, always written anew: id, name, base model, type, provider, parameters."""
+    rows = [(m["id"], m["model_name"], m.get("base_model", m["model_name"]), m.get("model_type", "general"), m["provider"], m.get("params", "{}"), dm) for m in models]
+    kinds = "model_id bigint, model_name string, base_model string, model_type string, provider string, params string, dm string"
+    write_partitions(spark.createDataFrame(rows, kinds), path, ["dm"])
+
+
+def preview(df: DataFrame, rows: int = 10) -> list[str]:
+    """The first rows as lines of JSON, for a run that writes nothing."""
+    return [r[0] for r in df.limit(rows).select(F.to_json(F.struct("*"))).collect()]
+
+
 def read_where(spark: SparkSession, path: str, partition: dict[str, str] | None = None, where: str | None = None, limit: int | None = None) -> DataFrame:
     """A table's rows of a partition that meet a condition; a limit takes rows in no stated order."""
     df = spark.read.parquet(path)
