@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import stats
 from plumbline.operators.ballots import ALL_GAMES, answers, both_sides, cast_votes, matchups, per_game_and_all
+from plumbline.operators.numbering import report
 from plumbline.operators.percentiles import discrete_percentiles
 from plumbline.schema import DIMENSIONS, FAST_ANSWER_MINUTES, FIRST_SET_ID, SESSION_NORMAL_QUESTIONS, SESSION_QUESTIONS, STATUS_SUBMITTED
 from plumbline.session import Scratch
@@ -38,9 +39,9 @@ def daily_users(spark: SparkSession, sf: str) -> DataFrame:
 
 def model_text_lengths(spark: SparkSession, sf: str) -> DataFrame:
     """Mean characters and bytes of queries and answers per answering model."""
-    told = table(spark, sf, "llm_answer").select("answer_id", "query_id", "model_id", "model_name", "answer_content", "generated_at")
-    asked = current_rows(table(spark, sf, "query_item").select("query_id", "raw_query", "dm"), "query_id", "dm")
-    pairs = current_rows(told, "answer_id", "generated_at").join(asked.drop("dm"), "query_id")
+    told = table(spark, sf, "llm_answer").select("answer_id", "query_id", "game_id", "model_id", "model_name", "answer_content", "generated_at")
+    asked = current_rows(table(spark, sf, "query_item").select("query_id", "game_id", "raw_query", "dm"), "query_id", "dm")
+    pairs = current_rows(told, "answer_id", "generated_at").join(asked.drop("dm"), ["query_id", "game_id"])
     lengths = {f"avg_{name}_{unit}": size(column) for name, column in (("query", "raw_query"), ("answer", "answer_content")) for unit, size in (("chars", F.char_length), ("bytes", F.octet_length))}
     return pairs.groupBy("model_id", "model_name").agg(*[rounded(F.avg(x), 4).alias(n) for n, x in lengths.items()], F.count("*").alias("samples"))
 
@@ -83,7 +84,7 @@ def user_verdicts(spark: SparkSession, sf: str, least: float = 0.6, least_scored
 
 def _target_votes(spark: SparkSession, sf: str, target: str) -> DataFrame:
     votes = both_sides(cast_votes(spark, sf).where("winner_id is not null")).where(F.col("model") == target)
-    kinds = table(spark, sf, "query_item").select(F.col("query_id").alias("eval_query_id"), "category", "raw_query", "dm")
+    kinds = table(spark, sf, "query_item").select(F.col("query_id").alias("eval_query_id"), "category", "dm")
     kinds = current_rows(kinds, "eval_query_id", "dm").drop("dm")
     result = F.when(F.col("winner_id") == 0, "draw").when(F.col("won") == 1, "win").otherwise("loss")
     joined = votes.join(bounded(kinds), "eval_query_id", "left").withColumn("result", result)
@@ -119,11 +120,14 @@ def target_by_query(spark: SparkSession, sf: str, target: str = TARGET_MODEL) ->
     columns = [rate(F.col("eval_dim_key") == d).alias(f"wr_{d}") for d in DIMENSIONS]
     columns += [rate((F.col("eval_dim_key") == d) & (F.col("family") == n)).alias(f"wr_{d}_{n}") for d in DIMENSIONS for n in FAMILIES]
     sides = [F.count_if(F.col("position") == p).alias(f"{p}_votes") for p in ("left", "right")]
-    found = votes.groupBy(*keys).agg(F.max("raw_query").alias("raw_query"), F.count_distinct("content_id").alias("comparisons"), F.count("*").alias("votes"), *sides, *columns)
+    found = votes.groupBy(*keys).agg(F.count_distinct("content_id").alias("comparisons"), F.count("*").alias("votes"), *sides, *columns)
     said = answers(spark, sf).where(F.col("eval_set_id") >= FIRST_SET_ID)
     named = {"target": F.lower("model_name").startswith(target), **{n: F.lower("model_name").startswith(p) for n, p in FAMILIES.items()}}
     said = said.groupBy("eval_query_id").agg(*[F.max(F.when(c, F.col("content"))).alias(f"{n}_answer") for n, c in named.items()])
-    return found.join(said, "eval_query_id", "left")
+    # Texts are joined once per query, after the votes are counted.
+    asked = current_rows(table(spark, sf, "query_item").select("query_id", "raw_query", "dm"), "query_id", "dm")
+    asked = asked.select(F.col("query_id").alias("eval_query_id"), "raw_query")
+    return found.join(asked, "eval_query_id", "left").join(said, "eval_query_id", "left")
 
 
 def winrate_matrix(spark: SparkSession, sf: str) -> DataFrame:
@@ -158,8 +162,9 @@ def ipw_winrates(spark: SparkSession, sf: str, low: float = 0.2, high: float = 5
     same within a cell of model, opponent, side and half, so cells are weighted instead of votes."""
     votes = cast_votes(spark, sf)
     scratch = Scratch(spark, "ipw")
-    answered = F.size(F.collect_set("content_id").over(Window.partitionBy("session_id")))  # at most one session's questions
-    votes = votes.withColumn("_answered", answered).where((F.col("_answered") == SESSION_QUESTIONS) & (F.col("is_golden") == 0) & F.col("winner_id").isNotNull())
+    votes = scratch.save(votes.select("session_id", "content_id", "game_id", "eval_dim_key", "time_bin", "is_golden", "winner_id", "answer_left", "answer_right", *[f"{s}_{c}" for s in ("left", "right") for c in ("id", "model", "chars")]))
+    whole = votes.groupBy("session_id").agg(F.count_distinct("content_id").alias("_answered")).where(F.col("_answered") == SESSION_QUESTIONS).select("session_id")
+    votes = votes.where((F.col("is_golden") == 0) & F.col("winner_id").isNotNull()).join(whole, "session_id", "left_semi")
     cells = both_sides(votes).where("model is not null").groupBy("game_id", "eval_dim_key", "model", "opponent", "position", "time_bin")
     cells = scratch.save(cells.agg(F.count("*").alias("n"), F.sum("won").alias("wins")))
     of_model = cells.groupBy("model").agg(
@@ -190,6 +195,21 @@ def ipw_winrates(spark: SparkSession, sf: str, low: float = 0.2, high: float = 5
     )
 
 
+def ipw_report(spark: SparkSession, sf: str, games: int = 10) -> DataFrame:
+    """The weighted win rates of all games together and of the first ``games`` games, the most corrected first."""
+    rows = Scratch(spark, "ipw-report").save(ipw_winrates(spark, sf))
+    listed = rows.where(F.col("game_id") != ALL_GAMES).select("game_id").distinct().orderBy("game_id").limit(games)
+    every = rows.drop("effective_n", "min_weight", "max_weight", "avg_weight", "stddev_weight")
+    kept = every.where(F.col("game_id") == ALL_GAMES).unionByName(every.join(F.broadcast(listed), "game_id", "left_semi"))
+    return report(kept, "game_id", "eval_dim_key", F.desc(F.abs("correction_pct")), "model_name")
+
+
+def matrix_report(spark: SparkSession, sf: str, limit: int = 1000) -> DataFrame:
+    """The win-rate matrix, all games first, by dimension and by the number of matches; at most ``limit`` rows."""
+    rows = winrate_matrix(spark, sf).select("game_id", "eval_dim_key", "row_model", "col_model", "total_matches", "stratified_winrate")
+    return report(rows, F.when(F.col("game_id") == ALL_GAMES, 0).otherwise(1), "game_id", "eval_dim_key", F.desc("total_matches"), "row_model", "col_model", limit=limit)
+
+
 def _asked_once(votes: DataFrame, by: list[str]) -> DataFrame:
     """One row per answered question of ``by``: its greatest time."""
     return votes.groupBy(*by, "eval_set_id", "game_id", "content_id", "is_golden").agg(F.max("seconds").alias("seconds"))

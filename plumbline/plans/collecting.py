@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.functions.text import content_units, folded, month_end, rough_tokens, safe_name, slice_tags, truth
+from plumbline.functions.text import content_chars, folded, month_end, month_label, rough_tokens, safe_name, short_name, slice_tags, truth, truth_code
 from plumbline.operators.ballots import models
-from plumbline.operators.collect import cleaned, error_class, fan_out, golden_rows, stub_responder, wide_by_model, with_second_pass
+from plumbline.operators.collect import cleaned, error_class, fan_out, filter_models, games_of, golden_rows, stub_responder, wide_by_model, with_metadata, with_second_pass
 from plumbline.plans.evalset import pool
+from plumbline.sources.sinks import next_ids
 from plumbline.sources.tables import current_rows, table
 
+#: Time and set of the golden items of a run, which a caller gives.
+GOLDEN_SECONDS, GOLDEN_SET, GOLDEN_MODEL = 1_760_000_000, 4_321, 90
+
 
 def _answers(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "llm_answer").select("answer_id", "set_id", "query_id", "model_name", "answer_content", "generation_metadata", "generated_at", "dm", "game_id", "model_id")
@@ -32,7 +36,24 @@ def collection_run(spark: SparkSession, sf: str) -> DataFrame:
 def cleaned_answers(spark: SparkSession, sf: str) -> DataFrame:
     """Stored answers after cleaning."""
     rows = cleaned(_answers(spark, sf), "answer_content")
-    return rows.select("answer_id", "clean_text", "unchanged", "meaningful", "cleaning.citations", "cleaning.links", "cleaning.urls", "cleaning.emoji")
+    return rows.select("answer_id", "clean_text", "unchanged", "meaningful", "cleaning.*")
+
+
+def answer_metadata(spark: SparkSession, sf: str) -> DataFrame:
+    """The metadata that a run stores with each cleaned answer, read again."""
+    rows = with_metadata(cleaned(_answers(spark, sf).drop("generation_metadata"), "answer_content"), "model_name")
+    told = lambda path, kind: F.get_json_object("generation_metadata", path).cast(kind)
+    return rows.select("answer_id", told("$.model", "string").alias("model"), told("$.completion_tokens", "bigint").alias("tokens"), told("$.cleaning.raw_equals_clean", "boolean").alias("raw_equals_clean"))
+
+
+def named_models(spark: SparkSession, sf: str) -> DataFrame:
+    """Models asked for by name in any letter case, with their short names."""
+    return filter_models(models(spark, sf), ["Orbit-Mini", "QUARTZ-7", "nobody"]).select("model_id", "model_name", short_name(F.col("model_name")).alias("short"))
+
+
+def games(spark: SparkSession, sf: str) -> DataFrame:
+    """Newest set of each game and name."""
+    return games_of(table(spark, sf, "query_item").select("game_id", "game_name", "set_id", "dm"), "dm")
 
 
 def answer_statistics(spark: SparkSession, sf: str) -> DataFrame:
@@ -60,18 +81,20 @@ def latest_sets(spark: SparkSession, sf: str) -> DataFrame:
 def text_measures(spark: SparkSession, sf: str) -> DataFrame:
     """Estimated tokens, content units and tags of every query."""
     text = F.col("raw_query")
-    return pool(spark, sf).select("query_id", rough_tokens(text).alias("tokens"), content_units(text).alias("units"), F.array_join(slice_tags(text), ",").alias("tags"), F.char_length(folded(text)).alias("folded_chars"), safe_name(F.col("game_name")).alias("game"))
+    return pool(spark, sf).select("query_id", rough_tokens(text).alias("tokens"), content_chars(text).alias("chars"), F.array_join(slice_tags(text), ",").alias("tags"), F.char_length(folded(text)).alias("folded_chars"), safe_name(F.col("game_name")).alias("game"))
 
 
 def answer_truths(spark: SparkSession, sf: str) -> DataFrame:
-    """Golden answers with what their metadata says about them."""
-    rows = _answers(spark, sf).withColumn("correct", truth(F.get_json_object("generation_metadata", "$.correct")))
-    return rows.where("correct is not null").select("answer_id", "query_id", "correct")
+    """Golden answers with what their metadata says about them, read kindly and, as a code, strictly."""
+    told = F.get_json_object("generation_metadata", "$.correct")
+    rows = _answers(spark, sf).withColumns({"correct": truth(told), "code": truth_code(told), "month": month_label(F.col("generated_at"))})
+    return rows.where("correct is not null").select("answer_id", "query_id", "correct", "code", "month")
 
 
 def golden_items(spark: SparkSession, sf: str) -> DataFrame:
     """Golden items built from queries and the right and a wrong answer to each."""
     said = answer_truths(spark, sf).join(_answers(spark, sf).select("answer_id", "answer_content"), "answer_id")
     pairs = said.groupBy("query_id").agg(F.min(F.when(F.col("correct") == 1, F.col("answer_content"))).alias("good"), F.min(F.when(F.col("correct") == 0, F.col("answer_content"))).alias("bad"))
-    items = pairs.join(pool(spark, sf).select("query_id", F.col("raw_query").alias("question")), "query_id").withColumnRenamed("query_id", "item")
-    return golden_rows(items, "item", F.lit(9_000_000), F.lit(1_734_353_400), F.lit(788))
+    asked = pool(spark, sf).select("query_id", F.col("raw_query").alias("question"))
+    last = next_ids(table(spark, sf, "query_item"), "query_id") - 1
+    return golden_rows(pairs.join(asked, "query_id"), "query_id", last, GOLDEN_SECONDS, GOLDEN_SET, GOLDEN_MODEL)

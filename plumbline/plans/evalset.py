@@ -5,14 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.functions.text import is_invalid_query, slice_tags
+from plumbline.functions.text import CJK, SLICES, is_invalid_query, rough_tokens, slice_tags
+from plumbline.operators.categories import excluded, match_categories, subdivided
 from plumbline.operators.components import components, mark_duplicates
-from plumbline.operators.evalset import exact_duplicates, fill_slices, hamilton, replace_rejected, score_and_rank, select_set, slice_targets
-from plumbline.operators.neighbours import nearest
+from plumbline.operators.evalset import exact_duplicates, hamilton, rejected_by, replace_rejected, score_and_rank, select_per_pool, select_set
+from plumbline.operators.neighbours import candidate_edges, nearest, verified_edges
 from plumbline.session import Scratch
 from plumbline.sources.tables import current_rows, table
 
 SET_SIZE = 60
+GAME_SET_SIZE = 20
+#: What the queries of a set must not be about, in place of a judge's suggestion.
+EXCLUDED, EXCLUDED_WORDS = ["other", "classification_failed"], ["S36", "购买"]
+
+
+def text_scorer(text: F.Column) -> dict[str, F.Column]:
+    """Scores from a query's text, in place of a model's: its numbers, its clauses and its length."""
+    count = lambda pattern, each: F.least(F.lit(100), each * F.regexp_count(text, F.lit(pattern)))
+    return {"specificity": count("[0-9]+", 25), "complexity": count("[,，;；:：|、]", 15), "depth": F.least(F.lit(100), F.char_length(text))}
 
 
 def pool(spark: SparkSession, sf: str) -> DataFrame:
@@ -38,9 +48,23 @@ def invalid_queries(spark: SparkSession, sf: str) -> DataFrame:
 
 def vector_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     """The ten nearest vectors of every vector whose id is divisible by 20, among all."""
+    return _neighbours(spark, sf).select("query_id", "neighbour_id", F.round("similarity", 4).alias("similarity"), "place")
+
+
+def _neighbours(spark: SparkSession, sf: str) -> DataFrame:
     vectors = table(spark, sf, "embeddings")
-    found = nearest(vectors, "vec_id", "embedding", vectors.where("vec_id % 20 = 0"))
-    return found.select("query_id", "neighbour_id", F.round("similarity", 4).alias("similarity"), "place")
+    return nearest(vectors, "vec_id", "embedding", vectors.where("vec_id % 20 = 0"))
+
+
+def similar_edges(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of near vectors that are duplicates or are to be verified."""
+    return candidate_edges(_neighbours(spark, sf), strict=0.6, border=0.4).select("a", "b", "kind", F.round("similarity", 4).alias("similarity"))
+
+
+def confirmed_edges(spark: SparkSession, sf: str) -> DataFrame:
+    """The strict pairs, and the others whose labels agree, in place of a judge."""
+    edges = candidate_edges(_neighbours(spark, sf), strict=0.6, border=0.4)
+    return verified_edges(edges, table(spark, sf, "embeddings"), "vec_id", lambda x, y: x == y, "label").select("a", "b", "kind")
 
 
 def _duplicate_groups(spark: SparkSession, sf: str) -> DataFrame:
@@ -61,9 +85,15 @@ def marked_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return _marked(spark, sf).select("query_id", "canonical_id", "status")
 
 
+def _parted(rows: DataFrame) -> DataFrame:
+    """Large categories by the way their queries are written: as fields, in Chinese, or, undecided, in other words."""
+    text = F.col("raw_query")
+    return subdivided(rows, "category", F.when(text.rlike("[=＝]|^\\s*\\{"), "fields").when(text.rlike(CJK), "chinese").when(text.rlike("[?？]"), "question"))
+
+
 def _candidates(spark: SparkSession, sf: str) -> DataFrame:
     good = _marked(spark, sf).where("status = 'relevant'").where(~is_invalid_query(F.col("raw_query")))
-    return score_and_rank(good.withColumn("tags", slice_tags(F.col("raw_query"))), "query_id", "category")
+    return score_and_rank(good.withColumn("tags", slice_tags(F.col("raw_query"))), "query_id", "category", "raw_query", text_scorer)
 
 
 def scores(spark: SparkSession, sf: str) -> DataFrame:
@@ -71,6 +101,48 @@ def scores(spark: SparkSession, sf: str) -> DataFrame:
     return _candidates(spark, sf).select("query_id", "category", "total_score", "represent_rank")
 
 
+def category_matches(spark: SparkSession, sf: str) -> DataFrame:
+    """The target category that each spelling of a category means, and its queries."""
+    names = [r[0] for r in table(spark, sf, "sample_targets").select("category").orderBy("category").collect()]  # one row per category
+    rows = current_rows(table(spark, sf, "query_item").select("query_id", "category", "dm"), "query_id", "dm").where("category is not null")
+    return match_categories(rows, "category", names).groupBy("category", "matched").agg(F.count("*").alias("queries"))
+
+
+def excluded_queries(spark: SparkSession, sf: str) -> DataFrame:
+    """Queries left out by category or by a word."""
+    return excluded(pool(spark, sf), "category", "raw_query", EXCLUDED, EXCLUDED_WORDS).where("exclude").select("query_id", "category")
+
+
+def subcategories(spark: SparkSession, sf: str) -> DataFrame:
+    """Sizes of the parts of each category."""
+    return _parted(pool(spark, sf)).groupBy("category", "rank_category").agg(F.count("*").alias("queries"))
+
+
+def _ranked(spark: SparkSession, sf: str, by: list[str]) -> DataFrame:
+    """Candidates ranked within the parts of their categories, for each value of ``by``."""
+    good = excluded(_marked(spark, sf), "category", "raw_query", EXCLUDED, EXCLUDED_WORDS).where("status = 'relevant' and not exclude")
+    good = _parted(good.where(~is_invalid_query(F.col("raw_query"))).withColumn("tags", slice_tags(F.col("raw_query"))))
+    key = F.struct(*by, "rank_category") if by else F.struct("rank_category")
+    return Scratch(spark, "ranked").save(score_and_rank(good.withColumn("_pool", key), "query_id", "_pool", "raw_query", text_scorer).drop("_pool"))
+
+
+def game_sets(spark: SparkSession, sf: str) -> DataFrame:
+    """An evaluation set of each game: slices, quotas of categories, caps of their parts, backfill."""
+    return select_per_pool(_ranked(spark, sf, ["game_id"]), "query_id", "category", ["game_id"], GAME_SET_SIZE)
+
+
+def game_quotas(spark: SparkSession, sf: str) -> DataFrame:
+    """Seats per game and category by largest remainders."""
+    counts = _candidates(spark, sf).groupBy("game_id", "category").agg(F.count("*").alias("queries"))
+    return hamilton(counts, "category", "queries", GAME_SET_SIZE, ["game_id"])
+
+
+def slice_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    """Candidates of each slice, and estimated tokens to judge them."""
+    rows = _candidates(spark, sf).select("raw_query", F.explode("tags").alias("slice"))
+    return rows.groupBy("slice").agg(F.count("*").alias("queries"), F.sum(rough_tokens(F.col("raw_query"))).alias("tokens"))
+
+
 def quotas(spark: SparkSession, sf: str) -> DataFrame:
     """Seats per category by largest remainders."""
     counts = _candidates(spark, sf).groupBy("category").agg(F.count("*").alias("queries"))
@@ -89,19 +161,17 @@ def selection(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sliced_selection(spark: SparkSession, sf: str) -> DataFrame:
-    """The selection with swaps for slices that fell short; only the set and as many candidates per slice
-    reach the driver."""
-    candidates = Scratch(spark, "candidates").save(_candidates(spark, sf))
-    columns = ["query_id", "category", "represent_rank", "tags"]
-    chosen = _selection(candidates).select(*columns, "reason")
-    targets = slice_targets(SET_SIZE)
-    best = None
-    for name in targets:
-        part = candidates.where(F.array_contains("tags", name)).orderBy("represent_rank", "category", "query_id").limit(2 * SET_SIZE).select(*columns)
-        best = part if best is None else best.unionByName(part)
-    rows = fill_slices(chosen.toPandas(), best.dropDuplicates(["query_id"]).toPandas(), "query_id", "category", targets)
-    rows["tags"] = rows["tags"].map(list)
-    return spark.createDataFrame(rows, "query_id bigint, category string, represent_rank int, tags array<string>, reason string")
+    """One set of all games with slices, quotas, caps and backfill."""
+    ranked = _ranked(spark, sf, []).withColumn("pool", F.lit("all"))
+    return select_per_pool(ranked, "query_id", "category", ["pool"], SET_SIZE).drop("pool")
+
+
+def rejected_queries(spark: SparkSession, sf: str) -> DataFrame:
+    """Selected queries that break a rule, with the rules' names."""
+    chosen = selection(spark, sf).join(pool(spark, sf).select("query_id", "raw_query"), "query_id")
+    text = F.col("raw_query")
+    broken = rejected_by(chosen, {"short": F.char_length(text) < 20, "no_number": ~text.rlike("[0-9]"), "fields": text.rlike("[=＝]|^\\s*\\{")})
+    return broken.select("query_id", F.array_join("broken", ",").alias("broken"))
 
 
 def replaced_selection(spark: SparkSession, sf: str) -> DataFrame:

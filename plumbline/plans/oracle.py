@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from plumbline.functions.text import AVOID_WORDS, CHOICE_WORDS, CONSTRAINT_WORDS, PROCEDURAL_WORDS, STRUCTURED_WORDS, TRAP_WORDS
+from plumbline.operators.collect import HINTS
 from plumbline.plans.analytics import FAMILIES, PERCENTS, TARGET_MODEL
+from plumbline.plans.collecting import GOLDEN_MODEL, GOLDEN_SECONDS, GOLDEN_SET
 from plumbline.schema import DIMENSIONS
 
 Z = "1.959963984540054"
@@ -325,7 +328,7 @@ golden AS (
 
 POOL = """
 pool AS (
-  SELECT query_id, game_name, raw_query, coalesce(lower(trim(category)), 'unclassified') AS category
+  SELECT query_id, game_id, game_name, raw_query, coalesce(lower(trim(category)), 'unclassified') AS category
   FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY dm DESC) AS place FROM query_item) WHERE place = 1
 )"""
 
@@ -352,7 +355,8 @@ told AS (SELECT *, CASE WHEN canonical_id = query_id THEN 'relevant' ELSE 'dupli
 CANDIDATES = f"""{MARKED},
 candidates AS (
   SELECT *, row_number() OVER (PARTITION BY category ORDER BY total_score DESC, query_id) AS represent_rank
-  FROM (SELECT *, round(0.3::DOUBLE * ((query_id * 7) % 101) + 0.3::DOUBLE * ((query_id * 11) % 101) + 0.4::DOUBLE * ((query_id * 13) % 101), 4) AS total_score
+  FROM (SELECT *, round(0.3::DOUBLE * least(100, 25 * len(regexp_extract_all(raw_query, '[0-9]+')))
+          + 0.3::DOUBLE * least(100, 15 * len(regexp_extract_all(raw_query, '[,，;；:：|、]'))) + 0.4::DOUBLE * least(100, length(raw_query)), 4) AS total_score
         FROM told WHERE status = 'relevant' AND NOT {INVALID})
 ),
 counts AS (SELECT category, count(*) AS queries FROM candidates GROUP BY category),
@@ -361,10 +365,108 @@ seats AS (
   SELECT category, queries, (floor(x) + (row_number() OVER (ORDER BY x - floor(x) DESC, category) <= 60 - sum(floor(x)) OVER ())::INT)::BIGINT AS quota FROM exact
 )"""
 
+#: Model names of the test tables, in the order of the columns of wide tables.
+MODELS = ("fennel-pro", "heron-large", "juniper-x", "orbit-mini", "quartz-7", "sable-chat", "tamarin-2", "wicker-base")
+
 CLEAN_ANSWERS = """
 said AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY answer_id ORDER BY generated_at DESC) AS place FROM llm_answer) WHERE place = 1)"""
 
 
+CLEANING = (
+    ("links", r"(?i)\[([^\]]+)\]\(\s*(?:https?://|www\.)[^\s)]+\s*\)", r"\1"),
+    ("urls", r"(?i)(^|[^\p{L}\p{N}_])(?:(?:https?://|www\.)\S+|(?:[a-z0-9-]+\.)+[a-z]{2,}(?:/[\w\-.~/?#%&=+]*)?)", r"\1"),
+    ("citations", r"(?i)\[\s*\^?(?:\d+|refs?|cite|note\d*|footnote\d*|source\d*)\s*\]", ""),
+    ("emoji", r"[\x{1F300}-\x{1FAFF}\x{2600}-\x{27BF}\x{1F000}-\x{1F02F}\x{FE0F}\x{200D}]+", ""),
+    ("empty_parens", r"\(\s*\)", ""),
+    ("empty_brackets", r"\[\s*\]", ""),
+    ("bullets", r"(?m)^([\t ]*)[*•·●▪◦➤▹►]+[ \t]+", r"\1- "),
+)
+
+
+def _cleaned() -> str:
+    """The cleaning as a chain of subqueries, each of which counts and replaces."""
+    rows = "SELECT *, answer_content AS t FROM said"
+    for name, pattern, put in CLEANING:
+        rows = f"SELECT * EXCLUDE (t), regexp_replace(t, '{pattern}', '{put}', 'g') AS t, len(regexp_extract_all(t, '{pattern}')) AS {name} FROM ({rows})"
+    for pattern, put in ((r"[ \t]+\n", "' || chr(10) || '"), (r"\n{3,}", "' || chr(10) || chr(10) || '"), (r" {2,}", " "), (r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")):
+        rows = f"SELECT * EXCLUDE (t), regexp_replace(t, '{pattern}', '{put}', 'g') AS t FROM ({rows})"
+    return f"{CLEAN_ANSWERS}, tidy AS ({rows})"
+
+
+def _chars(text: str) -> str:
+    """Letters, digits and underscores of a text without fences, numbers in brackets and the usual opening."""
+    for pattern in (r"(?s)```.*?```", r"\[\d+\]", r"关于《.*?》.*?以下是详细解答[:：]"):
+        text = f"regexp_replace({text}, '{pattern}', ' ', 'g')"
+    return rf"length(regexp_replace({text}, '[^\p{{L}}\p{{N}}_]+', '', 'g'))"
+
+
+def _meaningful(text: str) -> str:
+    body = rf"regexp_replace(coalesce({text}, ''), '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')"
+    return f"(lower({body}) NOT IN ('', '{{}}', '[]', 'null', 'none') AND {_chars(body)} >= 5)"
+
+
+def _tokens(text: str) -> str:
+    wide = rf"len(regexp_extract_all({text}, '[\x{{4e00}}-\x{{9fff}}]'))"
+    return f"floor({wide} / 1.5::DOUBLE + (length({text}) - {wide}) / 4.0::DOUBLE)"
+
+
+def _any(words: tuple[str, ...]) -> str:
+    return "(" + " OR ".join(f"contains(raw_query, '{w}')" for w in words) + ")"
+
+
+MARKS = " + ".join(f"contains(raw_query, '{w}')::INT" for w in CONSTRAINT_WORDS)
+TAGS = rf"""list_filter([
+  CASE WHEN regexp_matches(raw_query, '(^|[^\p{{L}}\p{{N}}_])\d+(\.\d+){{1,2}}([^\p{{L}}\p{{N}}_]|$)') OR regexp_matches(raw_query, '(^|[^\p{{L}}\p{{N}}_])[sS]\d+([^\p{{L}}\p{{N}}_]|$)|赛季\d+|第\d+赛季')
+    OR {_any(TRAP_WORDS)} THEN 'trap_unreleased' END,
+  CASE WHEN {_any(PROCEDURAL_WORDS)} THEN 'procedural' END,
+  CASE WHEN {_any(STRUCTURED_WORDS)} THEN 'structured' END,
+  CASE WHEN {MARKS} >= 2 OR ({MARKS} >= 1 AND len(regexp_extract_all(raw_query, '[，,；;、]')) >= 2) OR ({_any(AVOID_WORDS)} AND {_any(CHOICE_WORDS)}) THEN 'constraint_heavy' END
+], lambda x: x IS NOT NULL)"""
+
+PARTED = r"""
+named_parts AS (
+  SELECT *, CASE WHEN regexp_matches(raw_query, '[=＝]|^\s*\{') THEN 'fields' WHEN regexp_matches(raw_query, '[\x{4e00}-\x{9fff}]') THEN 'chinese'
+    WHEN regexp_matches(raw_query, '[?？]') THEN 'question' END AS part FROM pool
+),
+part_sizes AS (SELECT category, part, count(*) AS n, sum(count(*)) OVER (PARTITION BY category) AS all_n,
+  coalesce(sum(count(*) FILTER (WHERE part IS NULL)) OVER (PARTITION BY category), 0) AS lost FROM named_parts GROUP BY category, part),
+largest_parts AS (SELECT category, part AS largest FROM (SELECT *, row_number() OVER (PARTITION BY category ORDER BY n DESC, part) AS p FROM part_sizes WHERE part IS NOT NULL) WHERE p = 1),
+parted AS (
+  SELECT s.category, n, CASE WHEN all_n <= 50 OR largest IS NULL THEN s.category
+    WHEN part IS NULL OR n + CASE WHEN part = largest THEN lost ELSE 0 END < 20 THEN largest ELSE part END AS rank_category
+  FROM part_sizes s LEFT JOIN largest_parts USING (category)
+)"""
+
+EDGES = """
+near AS (
+  SELECT a, b, s FROM (
+    SELECT a.vec_id AS a, b.vec_id AS b, a.label AS la, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS s,
+      row_number() OVER (PARTITION BY a.vec_id ORDER BY list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) DESC, b.vec_id) AS place
+    FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0) WHERE place <= 10 AND a < b AND s >= 0.4
+)"""
+
+PICKED = """
+tagged AS (SELECT query_id, category, represent_rank, represent_rank <= quota AS quota_met FROM candidates JOIN seats USING (category)),
+placed AS (SELECT *, row_number() OVER (ORDER BY quota_met DESC, represent_rank, category, query_id) AS p FROM tagged),
+picked AS (SELECT query_id, category, represent_rank, CASE WHEN quota_met THEN 'category_quota' ELSE 'top_up' END AS reason FROM placed WHERE p <= 60)"""
+
+GOLDEN_ITEMS = f"""{CLEAN_ANSWERS},
+right_ones AS (
+  SELECT query_id, answer_content, CASE WHEN json_valid(generation_metadata) THEN lower(trim(generation_metadata ->> '$.correct')) END AS word FROM said
+),
+pairs AS (
+  SELECT query_id, min(answer_content) FILTER (WHERE word IN ('true', '1', 't', 'yes', 'y')) AS good, min(answer_content) FILTER (WHERE word IN ('false', '0', 'f', 'no', 'n')) AS bad
+  FROM right_ones GROUP BY query_id
+),
+items AS (
+  SELECT query_id AS item, raw_query AS question, good, bad, row_number() OVER (ORDER BY query_id) AS number
+  FROM pairs JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY dm DESC) AS place FROM query_item) WHERE place = 1) USING (query_id)
+  WHERE raw_query IS NOT NULL AND good IS NOT NULL AND bad IS NOT NULL AND trim(good, ' ') <> trim(bad, ' ')
+),
+sided AS (SELECT *, unnest([0, 1]) AS side, substring(md5(item::VARCHAR), 1, 1) < '8' AS swapped FROM items),
+written AS (SELECT *, (side = 0) = swapped AS correct, (SELECT max(query_id) FROM query_item) + number AS query_id FROM sided)"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL by query name."""
     return {
@@ -375,10 +477,10 @@ def oracle_sql() -> dict[str, str]:
             FROM sessions GROUP BY eval_date""",
         "q02_model_text_lengths": """
             WITH a AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY answer_id ORDER BY generated_at DESC) AS place FROM llm_answer) WHERE place = 1),
-            q AS (SELECT query_id, raw_query FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY dm DESC) AS place FROM query_item) WHERE place = 1)
+            q AS (SELECT query_id, game_id, raw_query FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY dm DESC) AS place FROM query_item) WHERE place = 1)
             SELECT model_id, model_name, round(avg(length(raw_query)), 4) AS avg_query_chars, round(avg(strlen(raw_query)), 4) AS avg_query_bytes,
               round(avg(length(answer_content)), 4) AS avg_answer_chars, round(avg(strlen(answer_content)), 4) AS avg_answer_bytes, count(*) AS samples
-            FROM a JOIN q USING (query_id) GROUP BY model_id, model_name""",
+            FROM a JOIN q USING (query_id, game_id) GROUP BY model_id, model_name""",
         "q03_session_funnel": f"""WITH {SESSIONS}, doubled AS (SELECT * FROM sessions UNION ALL SELECT * REPLACE ('all' AS game_id) FROM sessions)
             SELECT game_id, eval_set_id, CASE status WHEN 1 THEN 'quit' WHEN 4 THEN 'ongoing' WHEN 5 THEN 'submit' END AS eval_status,
               count(DISTINCT user_id) AS users, round(median((end_at - start_at) / 60.0::DOUBLE), 6) AS median_minutes, count(*) FILTER (WHERE submitted = 0) AS quick_quits,
@@ -451,16 +553,66 @@ def oracle_sql() -> dict[str, str]:
             SELECT outcome, count(*) AS queries, count(DISTINCT category) AS categories, round(count(*) / (SELECT count(*) FROM o)::DOUBLE, 6) AS share FROM o GROUP BY outcome""",
         "c09_latest_sets": """SELECT game_id, set_id, dm, strftime(last_day((dm || '-01')::DATE), '%Y-%m-%d') AS month_end FROM (
               SELECT *, row_number() OVER (PARTITION BY game_id ORDER BY dm DESC, set_id DESC) AS p FROM query_item WHERE set_id IS NOT NULL) WHERE p = 1""",
-        "c11_answer_statistics": f"""WITH {CLEAN_ANSWERS},
-            u AS (SELECT *, trim(coalesce(answer_content, '')) AS t,
-              regexp_replace(regexp_replace(regexp_replace(lower(trim(coalesce(answer_content, ''), ' ')), '(?s)```.*?```', ' ', 'g'), '\\[\\d+\\]', ' ', 'g'), '(?m)^#+.*$', ' ', 'g') AS body FROM said),
-            v AS (SELECT *, NOT (lower(trim(coalesce(answer_content, ''), ' ')) IN ('', 'nan', 'none', 'null', 'n/a', '<na>')) AND
-              len(regexp_extract_all(body, '[A-Za-z0-9]+')) + len(regexp_extract_all(body, '[\\x{{4e00}}-\\x{{9fff}}]')) >= 5 AS good FROM u)
-            SELECT model_name, count(*) AS answers, count(*) FILTER (WHERE good) AS succeeded, count(*) FILTER (WHERE NOT good) AS empty,
-              sum(floor(len(regexp_extract_all(answer_content, '[\\x{{4e00}}-\\x{{9fff}}]')) / 1.5::DOUBLE +
-                (length(answer_content) - len(regexp_extract_all(answer_content, '[\\x{{4e00}}-\\x{{9fff}}]'))) / 4.0::DOUBLE))::BIGINT AS tokens
+        "c11_answer_statistics": f"""WITH {CLEAN_ANSWERS}, v AS (SELECT *, {_meaningful("answer_content")} AS good FROM said)
+            SELECT model_name, count(*) AS answers, count(*) FILTER (WHERE good) AS succeeded, count(*) FILTER (WHERE NOT good) AS empty, sum({_tokens("answer_content")})::BIGINT AS tokens
             FROM v GROUP BY model_name""",
+        "c04_cleaned_answers": f"""WITH {_cleaned()} SELECT answer_id, t AS clean_text, {" + ".join(n for n, _, _ in CLEANING)} = 0 AS unchanged, {_meaningful("t")} AS meaningful,
+            {", ".join(n for n, _, _ in CLEANING)} FROM tidy""",
+        "c04_answer_metadata": f"""WITH {_cleaned()} SELECT answer_id, model_name AS model, {_tokens("t")}::BIGINT AS tokens, {" + ".join(n for n, _, _ in CLEANING)} = 0 AS raw_equals_clean FROM tidy""",
+        "c07_wide_answers": f"""WITH {CLEAN_ANSWERS} SELECT query_id, {", ".join(f"""min(length(answer_content)) FILTER (WHERE model_name = '{m}') AS "{m}" """ for m in sorted((*MODELS, "golden-author")))}
+            FROM said GROUP BY query_id""",
+        "c10_named_models": """SELECT id AS model_id, max(model_name) AS model_name, upper(substring(max(model_name), 1, 4)) AS short FROM llm_models
+            WHERE dt = (SELECT max(dt) FROM llm_models) GROUP BY id HAVING lower(max(model_name)) IN ('orbit-mini', 'quartz-7')""",
+        "c13_golden_items": f"""WITH {GOLDEN_ITEMS}
+            SELECT query_id, question, side, regexp_replace(CASE WHEN correct THEN good ELSE bad END, '[。，]+$', '') || CASE side WHEN 0 THEN '{HINTS[0]}' ELSE '{HINTS[1]}' END AS answer,
+              ({GOLDEN_SECONDS} + (number - 1) // 100) * 1000000000 + {GOLDEN_MODEL % 100} * 10000000 + {GOLDEN_SET % 1000} * 10000 + (query_id * 100 + side + 1) % 10000 AS answer_id,
+              '{{"correct":' || correct || ',"selection":"' || CASE side WHEN 0 THEN 'modelA' ELSE 'modelB' END || '","anti_cheat":true}}' AS generation_metadata FROM written""",
+        "c14_games": """SELECT game_id, game_name, set_id FROM (
+              SELECT *, row_number() OVER (PARTITION BY game_id, game_name ORDER BY dm DESC NULLS LAST, set_id DESC NULLS LAST) AS p FROM query_item) WHERE p = 1""",
+        "f13_text_measures": rf"""WITH {POOL} SELECT query_id, {_tokens("raw_query")}::BIGINT AS tokens, {_chars("raw_query")} AS chars, array_to_string({TAGS}, ',') AS tags,
+              length(trim(regexp_replace(regexp_replace(lower(raw_query), '[\p{{P}}\p{{S}}]', '', 'g'), '\s+', ' ', 'g'), ' ')) AS folded_chars,
+              regexp_replace(game_name, '[^A-Za-z0-9_\x{{4e00}}-\x{{9fff}}]', '_', 'g') AS game FROM pool""",
+        "q07_matrix_report": f"""WITH {MATRIX}, rows AS ({MATRIX_ROWS})
+            SELECT game_id, eval_dim_key, row_model, col_model, total_matches, stratified_winrate FROM rows
+            ORDER BY CASE game_id WHEN 'all' THEN 0 ELSE 1 END, game_id, eval_dim_key, total_matches DESC, row_model, col_model LIMIT 1000""",
+        "q08_ipw_report": f"""WITH every AS ({IPW})
+            SELECT * EXCLUDE (effective_n, min_weight, max_weight, avg_weight, stddev_weight) FROM every
+            WHERE game_id IN (SELECT DISTINCT game_id FROM every WHERE game_id <> 'all' ORDER BY game_id LIMIT 10) OR game_id = 'all'""",
+        "b02_single_games": f"""WITH {MATRIX}, rows AS ({MATRIX_ROWS}), halves AS (
+              SELECT game_id, eval_dim_key, 'row' AS winner, round_even(stratified_winrate * total_matches, 0)::BIGINT AS n FROM rows WHERE game_id <> 'all'
+              UNION ALL SELECT game_id, eval_dim_key, 'col', round_even((1 - stratified_winrate) * total_matches, 0)::BIGINT FROM rows WHERE game_id <> 'all')
+            SELECT game_id, eval_dim_key, winner, sum(n)::BIGINT AS games FROM halves WHERE n > 0 GROUP BY ALL""",
+        "b09_top_differences": f"""WITH {MATRIX}, rows AS ({MATRIX_ROWS})
+            SELECT game_id, eval_dim_key, row_model, col_model, total_matches, round(stratified_winrate - raw_winrate, 6) AS diff, round(abs(stratified_winrate - raw_winrate), 6) AS abs_diff
+            FROM rows ORDER BY abs_diff DESC, game_id, eval_dim_key, row_model, col_model LIMIT 10""",
+        "b09_difference_wide": f"""WITH {MATRIX}, rows AS ({MATRIX_ROWS})
+            SELECT eval_dim_key, row_model, {", ".join(f"""max(round(stratified_winrate - raw_winrate, 6)) FILTER (WHERE col_model = '{m}') AS "{m}" """ for m in MODELS)}
+            FROM rows WHERE game_id = 'all' GROUP BY eval_dim_key, row_model""",
+        "b10_matrix_wide": f"""WITH {MATRIX}, rows AS ({MATRIX_ROWS})
+            SELECT eval_dim_key, row_model, {", ".join(f"""max(stratified_winrate) FILTER (WHERE col_model = '{m}') AS "{m}" """ for m in MODELS)}
+            FROM rows WHERE game_id = 'all' GROUP BY eval_dim_key, row_model""",
+        "g06_edges": f"WITH {EDGES} SELECT a, b, CASE WHEN s >= 0.6 THEN 'strict' ELSE 'border' END AS kind, round(s, 4) AS similarity FROM near",
+        "g07_confirmed_edges": f"""WITH {EDGES} SELECT a, b, CASE WHEN s >= 0.6 THEN 'strict' ELSE 'border' END AS kind
+            FROM near JOIN embeddings x ON x.vec_id = a JOIN embeddings y ON y.vec_id = b WHERE s >= 0.6 OR x.label = y.label""",
+        "g11_excluded": f"""WITH {POOL} SELECT query_id, category FROM pool WHERE category IN ('other', 'classification_failed')
+            OR contains(lower(coalesce(raw_query, '')), 's36') OR contains(lower(coalesce(raw_query, '')), '购买')""",
+        "g11_subcategories": f"WITH {POOL},{PARTED} SELECT category, rank_category, sum(n)::BIGINT AS queries FROM parted GROUP BY category, rank_category",
+        "g13_game_quotas": f"""WITH RECURSIVE {CANDIDATES},
+            c AS (SELECT game_id, category, count(*) AS queries FROM candidates GROUP BY ALL),
+            e AS (SELECT *, round(queries * 20.0::DOUBLE / sum(queries) OVER (PARTITION BY game_id), 9) AS x FROM c)
+            SELECT game_id, category, queries, (floor(x) + (row_number() OVER (PARTITION BY game_id ORDER BY x - floor(x) DESC, category) <= 20 - sum(floor(x)) OVER (PARTITION BY game_id))::INT)::BIGINT AS quota FROM e""",
+        "g14_slice_coverage": f"""WITH RECURSIVE {CANDIDATES}, t AS (SELECT raw_query, unnest({TAGS}) AS slice FROM candidates)
+            SELECT slice, count(*) AS queries, sum({_tokens("raw_query")})::BIGINT AS tokens FROM t GROUP BY slice""",
+        "g18_selection_details": f"""WITH RECURSIVE {CANDIDATES}, {PICKED}
+            SELECT t.query_id, canonical_id, status, CASE status WHEN 'duplicate' THEN 'not_classified' ELSE t.category END AS category,
+              coalesce(p.represent_rank, -1) AS represent_rank, p.query_id IS NOT NULL AS selected, reason FROM told t LEFT JOIN picked p USING (query_id)""",
+        "g19_rejected": rf"""WITH RECURSIVE {CANDIDATES}, {PICKED},
+            r AS (SELECT p.query_id, array_to_string(list_filter([CASE WHEN length(raw_query) < 20 THEN 'short' END, CASE WHEN NOT regexp_matches(raw_query, '[0-9]') THEN 'no_number' END,
+              CASE WHEN regexp_matches(raw_query, '[=＝]|^\s*\{{') THEN 'fields' END], lambda x: x IS NOT NULL), ',') AS broken FROM picked p JOIN pool USING (query_id))
+            SELECT query_id, broken FROM r WHERE broken <> ''""",
         "f11_answer_truths": f"""WITH {CLEAN_ANSWERS}, w AS (
-              SELECT answer_id, query_id, CASE WHEN json_valid(generation_metadata) THEN lower(trim(generation_metadata ->> '$.correct')) END AS word FROM said)
-            SELECT answer_id, query_id, (word IN ('true', '1', 't', 'yes', 'y'))::INT AS correct FROM w WHERE word IN ('true', '1', 't', 'yes', 'y', 'false', '0', 'f', 'no', 'n')""",
+              SELECT answer_id, query_id, generated_at, CASE WHEN json_valid(generation_metadata) THEN generation_metadata ->> '$.correct' END AS told, lower(trim(told)) AS word FROM said)
+            SELECT answer_id, query_id, (word IN ('true', '1', 't', 'yes', 'y'))::INT AS correct,
+              CASE WHEN told IN ('true', '1', 't', 'yes', 'y') THEN 1 WHEN told IN ('false', '0', 'f', 'no', 'n') THEN 0 ELSE -1 END AS code,
+              coalesce(strftime(make_timestamp(generated_at * 1000000), '%Y年%m月'), '未知时间') AS month FROM w WHERE word IN ('true', '1', 't', 'yes', 'y', 'false', '0', 'f', 'no', 'n')""",
     }

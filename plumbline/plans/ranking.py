@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.stats import ratio
+from plumbline.functions.text import short_name
 from plumbline.operators.ballots import both_sides, cast_votes
-from plumbline.operators.bradley_terry import balance_games, bootstrap_intervals, bt_levels, bt_ranking, matches_of
+from plumbline.operators.bradley_terry import balance_games, bootstrap_intervals, bt_levels, bt_ranking, expanded_games, matches_of
 from plumbline.plans.analytics import rounded, winrate_matrix
 from plumbline.schema import DIMENSIONS
 from plumbline.session import Scratch
@@ -90,6 +91,26 @@ def dimension_shares(spark: SparkSession, sf: str) -> DataFrame:
     return wide.select("game_id", "model", *[rounded(F.col(d), 2).alias(d) for d in DIMENSIONS])
 
 
+def difference_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """Differences over all games as a table: one row per dimension and row model, one column per opponent."""
+    rows = Scratch(spark, "differences").save(winrate_differences(spark, sf).where("game_id = 'all'"))
+    names = [r[0] for r in rows.select("col_model").distinct().orderBy("col_model").collect()]  # one per model
+    return rows.groupBy("eval_dim_key", "row_model").pivot("col_model", names).agg(F.first("diff"))
+
+
+def single_games(spark: SparkSession, sf: str) -> DataFrame:
+    """Single games by winner that the matrix of each game stands for, counted."""
+    rows = expanded_games(matches_of(_matrix(spark, sf).where("game_id != 'all'")))
+    return rows.groupBy("game_id", "eval_dim_key", "winner").agg(F.count("*").alias("games"))
+
+
+def strength_by_rank(spark: SparkSession, sf: str) -> DataFrame:
+    """Strength and short name of the model at each rank, per game and dimension, a column each for the first ranks."""
+    rows = bt_levels(matches_of(_matrix(spark, sf))).where("level = 'game_x_dimension'").withColumn("short", short_name(F.col("model")))
+    wide = rows.groupBy("game", "dimension").pivot("rank", list(range(1, 5)))
+    return wide.agg(rounded(F.first("bt_strength"), 3).alias("strength"), F.first("short").alias("model"))
+
+
 def rank_by_dimension(spark: SparkSession, sf: str) -> DataFrame:
     """Model at each rank, one column per dimension."""
     rows = bt_levels(matches_of(_matrix(spark, sf))).where("level = 'by_dimension'")
