@@ -28,7 +28,7 @@ def with_canonical(df: DataFrame, text: str, out: str = "canonical") -> DataFram
     objects are sorted too. An object of one field is its name and value, like the text that has these
     only. NULL for a text without any letter or digit. The steps are columns of their own, so that
     none is computed twice."""
-    plain, parts, fields, kept = F.col("_plain"), F.col("_parts"), F.col("_fields"), F.col("_kept")
+    plain, parts, fields, kept, bare = (F.col(c) for c in ("_plain", "_parts", "_fields", "_kept", "_bare"))
     listed = (F.size(parts) > 1) & F.forall(parts, lambda x: x.rlike(FIELD))
     of_list = F.transform(parts, lambda x: F.concat(letters(F.regexp_extract(x, NAME, 1)), F.lit("="), letters(F.regexp_replace(x, NAME, ""))))
     # A variant keeps the fields of its objects in order.
@@ -40,7 +40,8 @@ def with_canonical(df: DataFrame, text: str, out: str = "canonical") -> DataFram
     done = done.withColumn("_fields", F.coalesce(F.when(plain.rlike(r"(?s)^\s*\{.*\}\s*$"), of_json), F.when(listed, of_list)))
     done = done.withColumn("_kept", F.array_sort(F.filter(fields, lambda x: x != "=")))
     joined = F.when(F.size(kept) == 1, F.replace(kept[0], F.lit("="))).when(F.size(kept) > 1, F.concat(F.lit("{"), F.array_join(kept, "\n")))
-    return done.withColumn(out, F.coalesce(joined, F.nullif(letters(plain), F.lit("")))).drop("_plain", "_parts", "_fields", "_kept")
+    done = done.withColumn("_bare", F.when(kept.isNull() | (F.size(kept) == 0), letters(plain)))
+    return done.withColumn(out, F.coalesce(joined, F.nullif(bare, F.lit("")))).drop("_plain", "_parts", "_fields", "_kept", "_bare")
 
 
 def formatting_duplicates(records: DataFrame, key: str, text: str) -> DataFrame:
@@ -71,7 +72,9 @@ def _grouped(records: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFr
     scratch = Scratch(records.sparkSession, "canonical")
     rows = records.select(F.col(key).alias("key"), F.col(text).alias("raw")).where("key is not null and raw is not null")
     raw = rows.groupBy("raw").agg(F.min("key").alias("first"), F.count("*").alias("copies"))
-    raw = with_canonical(raw, "raw").where("canonical is not null")
-    raw = scratch.save(raw.select(_digest(F.col("raw")).alias("raw_digest"), _digest(F.col("canonical")).alias("digest"), "canonical", "first", "copies"))
+    # NULLs are left out after the table is written: earlier the condition would be moved below the counting,
+    # and every row be made canonical.
+    raw = with_canonical(raw, "raw").select(_digest(F.col("raw")).alias("raw_digest"), _digest(F.col("canonical")).alias("digest"), "canonical", "first", "copies")
+    raw = scratch.save(raw).where("canonical is not null")
     groups = raw.groupBy("canonical").agg(F.min("first").alias("group_id"), F.sum("copies").alias("copies"), F.count("*").alias("writings"), F.first("digest").alias("digest"))
     return raw, groups
