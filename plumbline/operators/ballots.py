@@ -23,11 +23,12 @@ def finished_tasks(spark: SparkSession, folder: str, first_set: int = FIRST_SET_
 
 
 def ballots(tasks: DataFrame) -> DataFrame:
-    """One row per dimension answered in a task, with the half of its session; unreadable results give none.
+    """One row per dimension answered in a task, with the half of its session; unreadable results and tasks
+    without a session give none.
 
     The session's last number comes from a window over the tasks, before they are multiplied by dimensions."""
     last = F.max("no").over(Window.partitionBy("session_id"))
-    binned = tasks.withColumn("time_bin", half_of(F.col("no"), last))
+    binned = tasks.where("session_id is not null").withColumn("time_bin", half_of(F.col("no"), last))
     return binned.select("task_id", "session_id", "eval_set_id", "content_id", "no", "seconds", "time_bin", F.inline("entries"))
 
 

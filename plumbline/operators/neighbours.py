@@ -74,16 +74,19 @@ def verified_edges(edges: DataFrame, records: DataFrame, key: str, same: Callabl
 
 
 def _unit(ids: pa.Array, vectors: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Ids and unit vectors by the vectors' length."""
+    """Ids and unit vectors by the vectors' length; vectors with a NULL in them aren't compared."""
     keys = ids.to_numpy(zero_copy_only=False) if isinstance(ids, pa.Array) else ids.to_numpy()
-    lists = [np.asarray(v, np.float64) for v in vectors.to_pylist()]
-    sizes = np.array([len(v) for v in lists], int)
+    lists = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
+    lists = pa.concat_arrays(lists.chunks) if isinstance(lists, pa.ChunkedArray) else lists
+    values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    sizes = np.diff(lists.offsets.to_numpy()) if len(lists) else np.zeros(0, int)
+    start = np.cumsum(sizes) - sizes
     found = {}
     for size in np.unique(sizes[sizes > 0]).tolist():
         at = np.flatnonzero(sizes == size)
-        matrix = np.stack([lists[i] for i in at])
+        matrix = values[start[at][:, None] + np.arange(size)]
         norm = np.linalg.norm(matrix, axis=1)
-        fine = norm > 0
+        fine = norm > 0  # not so for NaN
         if fine.any():
             found[size] = keys[at][fine], matrix[fine] / norm[fine, None]
     return found

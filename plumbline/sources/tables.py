@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Rows up to which a side is broadcast, as two or three 8-byte columns of so many rows stay near 64 MB.
-BROADCAST_ROWS = 1_000_000
+from plumbline.session import Scratch
+
+#: Bytes up to which a side is broadcast, and rows of two or three numbers that stay near it.
+BROADCAST_BYTES, BROADCAST_ROWS = 64_000_000, 1_000_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -25,8 +28,10 @@ def latest_partition(df: DataFrame, column: str = "dt") -> DataFrame:
 def current_rows(df: DataFrame, key: str, newest: str | Column, *ties: str | Column) -> DataFrame:
     """One row of each ``key``: the one with the greatest ``newest``, then the greatest ``ties``.
 
-    Rows without a key are dropped; a NULL in ``newest`` counts as oldest. Exact copies give one row."""
+    Rows without a key are dropped; a NULL in ``newest`` counts as oldest. Exact copies give one row. Of
+    different rows that are equally new a hash of all columns picks one, so that a run can be repeated."""
     order = [F.desc_nulls_last(c) if isinstance(c, str) else c.desc_nulls_last() for c in (newest, *ties)]
+    order.append(F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]))
     place = F.row_number().over(Window.partitionBy(key).orderBy(*order))
     return df.where(F.col(key).isNotNull()).withColumn("_place", place).where("_place = 1").drop("_place")
 
@@ -40,7 +45,19 @@ def current_numbers(df: DataFrame, key: str, newest: Column, columns: list[str])
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(*picked)
 
 
-def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it was counted to hold at most ``rows`` rows, else as it is,
-    which leaves the join to a shuffle with adaptive splitting of skewed keys."""
-    return F.broadcast(df) if df.count() <= rows else df
+def _width(field: T.StructField) -> Column:
+    """Bytes that a column's value takes in memory, about."""
+    name = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return 24 + F.coalesce(F.octet_length(name), F.lit(0))
+    return F.lit(8) if isinstance(field.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)) else 32 + F.coalesce(F.octet_length(F.to_json(F.struct(name))), F.lit(0))
+
+
+def bounded(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if its rows were measured to take at most ``most`` bytes, else without one,
+    which leaves the join to a shuffle with adaptive splitting of skewed keys.
+
+    It is stored in the shared folder to be measured, unless it comes from there, so it is computed once."""
+    saved = df if hasattr(df, "_scratch_path") else Scratch(df.sparkSession, "side").save(df)
+    size = saved.agg(F.sum(sum((_width(f) for f in saved.schema.fields), F.lit(16)))).first()[0] or 0
+    return F.broadcast(saved) if size <= most else saved
