@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,6 +44,19 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{shared_dir.own.name}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors of a cluster on which it isn't installed, by a file in the shared folder."""
+    root, held = Path(__file__).resolve().parent, io.BytesIO()
+    with zipfile.ZipFile(held, "w") as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, str(source.relative_to(root.parent)))
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/plumbline-{uuid.uuid4().hex}/plumbline.zip")
+    stream = where.getFileSystem(spark._jsc.hadoopConfiguration()).create(where, True)
+    stream.write(bytearray(held.getvalue()))
+    stream.close()
+    spark.sparkContext.addPyFile(where.toString())
+
+
 class Scratch:
     """Tables written to the shared folder, so that what was computed survives the loss of executors
     and later plans start from files instead of a growing lineage. clear_scratch deletes them all."""
