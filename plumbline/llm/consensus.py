@@ -156,12 +156,46 @@ def _sums(who: np.ndarray, named: np.ndarray, weight: np.ndarray, k: int, people
     return np.stack([np.bincount(at, weight[:, right], people * k).reshape(people, k) for right in range(k)], 1)
 
 
-def _rows(sums: np.ndarray) -> pa.RecordBatch:
-    """Sums of the annotators seen, one row each."""
+#: Annotators whose sums are packed in one row.
+BLOCK = 4096
+
+
+def _pack(sums: np.ndarray) -> pa.RecordBatch:
+    """(block, packed): sums of the annotators seen, as bytes of their places in the block and of single-precision
+    numbers, without those of the last right label, which the annotators' known totals give."""
     seen = np.flatnonzero(sums.any((1, 2)))
-    flat = sums[seen].reshape(len(seen), sums.shape[1] * sums.shape[2])
-    columns = [pa.array(seen.astype(np.int32))] + [pa.array(np.ascontiguousarray(c)) for c in flat.T]
-    return pa.RecordBatch.from_arrays(columns, names=["who", *(f"s{i}" for i in range(flat.shape[1]))])
+    values = sums[seen, :-1].reshape(len(seen), (sums.shape[1] - 1) * sums.shape[2]).astype(np.float32)
+    edges = np.flatnonzero(np.r_[True, np.diff(seen // BLOCK) > 0, True]) if len(seen) else np.zeros(1, int)
+    packed = [(seen[a:b] % BLOCK).astype(np.int32).tobytes() + values[a:b].tobytes() for a, b in zip(edges, edges[1:])]
+    return pa.RecordBatch.from_arrays([pa.array((seen[edges[:-1]] // BLOCK).astype(np.int32)), pa.array(packed, pa.binary())], names=["block", "packed"])
+
+
+def _unpack(packed: bytes, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places in the block and sums (annotators x (k - 1) x k)."""
+    n = len(packed) // (4 + 4 * (k - 1) * k)
+    return np.frombuffer(packed, np.int32, n), np.frombuffer(packed, np.float32, offset=4 * n).reshape(n, k - 1, k)
+
+
+def _summed(parts: DataFrame, totals: np.ndarray) -> np.ndarray:
+    """The sums of all annotators (annotators x right x named) from packed partial ones, added up per block in tasks."""
+    size, k = totals.shape
+
+    def add(table: pa.Table) -> pa.Table:
+        sums = np.zeros((BLOCK, k, k))
+        for packed in table.column("packed").to_pylist():
+            at, values = _unpack(packed, k)
+            sums[at, :-1] += values
+        # Annotators whose sums are all of the last label are seen, but add nothing.
+        batch = _pack(sums)
+        return pa.table([pa.array([table.column("block")[0].as_py()] * batch.num_rows, pa.int32()), batch.column(1)], names=["block", "packed"])
+
+    found = np.zeros((size, k, k))
+    if k > 1:
+        for row in parts.groupBy("block").applyInArrow(add, "block int, packed binary").collect():  # a row per block
+            at, values = _unpack(row["packed"], k)
+            found[row["block"] * BLOCK + at, :-1] = values
+    found[:, -1] = np.maximum(totals - found[:, :-1].sum(1), 0)
+    return found
 
 
 def _packed(spark, scratch, rows, people, keys, labels, iterations, tolerance, smoothing, hot):
@@ -187,7 +221,10 @@ def _packed(spark, scratch, rows, people, keys, labels, iterations, tolerance, s
     tasks = max(min(spark.sparkContext.defaultParallelism, n_votes // 200_000), min(n_votes // (8 * max(size, 1)), n_votes // 2_000_000), 1)
     packed = packed.coalesce(tasks)
     n_hot = len(hot_keys)
-    schema = "who int, " + ", ".join(f"s{i} double" for i in range(k * k))
+    schema = "block int, packed binary"
+    totals = np.zeros((size, k))
+    counted = coded.groupBy("who", "named").agg(F.count("*").alias("n")).toPandas()  # a row per annotator and label
+    totals[counted["who"].to_numpy(int), counted["named"].to_numpy(int)] = counted["n"].to_numpy(float)
 
     def unpack(batch):
         votes = batch.column("votes")
@@ -222,21 +259,19 @@ def _packed(spark, scratch, rows, people, keys, labels, iterations, tolerance, s
                 at, who, named, n, sure = unpack(batch)
                 post, _ = infer(at, who, named, n, sure, state)
                 total += _sums(who, named, post[at], k, size)
-            yield _rows(total)
+            yield _pack(total)
 
         def pass_hot(batches, shipped=shipped):
             post, total = shipped.value[1], np.zeros((size, k, k))
             for batch in batches:
                 item, who, named = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("item", "who", "named"))
                 total += _sums(who, named, post[item], k, size)
-            yield _rows(total)
+            yield _pack(total)
 
         parts = packed.select("votes", "known").mapInArrow(pass_cold, schema)
         if hot_votes is not None:
             parts = parts.union(hot_votes.mapInArrow(pass_hot, schema))
-        summed = parts.groupBy("who").agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in range(k * k)]).toPandas()
-        counts_now = np.zeros((size, k, k))
-        counts_now[summed["who"].to_numpy(int)] = summed.drop(columns="who").to_numpy().reshape(len(summed), k, k)
+        counts_now = _summed(parts, totals)
         matrices = _smooth(counts_now, smoothing)
         prior = counts_now.sum((0, 2)) + 1.0
         state = (np.log(matrices), np.log(prior / prior.sum()))
@@ -270,7 +305,7 @@ def _packed(spark, scratch, rows, people, keys, labels, iterations, tolerance, s
     if size:
         matrices = _smooth(counts_now, smoothing)
         total = np.maximum(counts_now.sum((1, 2)), 1)
-        table["votes"] = np.rint(counts_now.sum((1, 2))).astype(int)
+        table["votes"] = totals.sum(1).astype(int)
         table["accuracy"] = np.trace(counts_now, axis1=1, axis2=2) / total
         table["matrix"] = [m.tolist() for m in matrices]
         people_rows = table.drop(columns="who")
