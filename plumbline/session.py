@@ -9,7 +9,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 #: Session settings every plan here relies on; sizes are left to the cluster.
 SETTINGS = {
@@ -76,6 +76,14 @@ class Scratch:
         saved._scratch_path = path
         return saved
 
+    def save_counted(self, df: DataFrame, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+        """As save, with aggregates of the rows that were observed while they were written, so that no other job
+        counts them. NULL aggregates are 0."""
+        seen = Observation()
+        saved = self.save(df.observe(seen, *[c.alias(n) for n, c in counts.items()]))
+        found = seen.get  # empty where the optimizer saw that there are no rows
+        return saved, {n: found.get(n) or 0 for n in counts}
+
     def drop(self, df: DataFrame | None) -> None:
         """Delete a saved table that nothing will read any more."""
         path = getattr(df, "_scratch_path", None)
