@@ -33,8 +33,8 @@ WRITTEN_HINT = r"(?s)(。)?\s*如果.*?表述正确.*?请全部选择\*\*[^*]+\*
 
 
 def stub_responder(query: Column, model: Column) -> Column:
-    """A deterministic answer without any service: the query's words in the model's name; none for every 13th."""
-    return F.when(F.pmod(F.xxhash64(query, model), F.lit(13)) != 0, F.concat(model, F.lit(" answers: "), query))
+    """A deterministic answer without any service: the query's words in the model's name; none for every 16th."""
+    return F.when(~F.md5(F.concat(query, model)).startswith("0"), F.concat(model, F.lit(" answers: "), query))
 
 
 def fan_out(queries: DataFrame, text: str, models: list[str], respond: Responder = stub_responder) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.functions.text import folded
+from plumbline.functions.text import folded, is_invalid_query
 from plumbline.sources.tables import bounded
 
 # Weights of the three scores, and the score of a missing one.
@@ -22,6 +22,8 @@ SLICE_QUOTAS = {"trap_unreleased": (0, 0.0), "procedural": (4, 0.32), "structure
 SLICE_OVERAGE = 2
 #: From how many rank categories on each is capped, and the least cap.
 CAPPED_FROM, LEAST_CAP = 8, 2
+#: Category of what isn't classified.
+UNCLASSIFIED = "不参与分类"
 #: Selected queries more similar than this replace each other.
 SIMILAR = 0.85
 
@@ -29,6 +31,20 @@ SIMILAR = 0.85
 Scorer = Callable[[Column], dict[str, Column]]
 
 
+def relevant(queries: DataFrame, text: str, judge: Callable[[Column], Column] | None = None) -> DataFrame:
+    """``queries`` with is_relevant: not obviously invalid, and not refused by an injected judge of the text; where
+    the judge says nothing a query stays relevant."""
+    held = ~is_invalid_query(F.col(text))
+    return queries.withColumn("is_relevant", held & F.coalesce(judge(F.col(text)), F.lit(True)) if judge else held)
+
+
+def rewritten(queries: DataFrame, text: str, rewrite: Callable[[Column], Column] | None = None) -> DataFrame:
+    """``queries`` with their text as an injected writer puts it, and as it was in a column ending in _original;
+    a text that the writer gives nothing for stays as it is."""
+    kept = queries.withColumn(f"{text}_original", F.col(text))
+    return kept.withColumn(text, F.coalesce(rewrite(F.col(text)), F.col(text))) if rewrite else kept
+
+
 def exact_duplicates(queries: DataFrame, key: str, text: str, fold: bool = False) -> DataFrame:
     """First query (smallest key) of each text, or of each text without case and punctuation.
 

@@ -9,7 +9,7 @@ from plumbline.functions.text import content_chars, folded, month_end, month_lab
 from plumbline.operators.ballots import models
 from plumbline.operators.collect import cleaned, error_class, fan_out, filter_models, games_of, golden_rows, stub_responder, wide_by_model, with_metadata, with_second_pass
 from plumbline.plans.evalset import pool
-from plumbline.sources.sinks import next_ids
+from plumbline.sources.sinks import next_ids, read_where
 from plumbline.sources.tables import current_rows, table
 
 #: Time and set of the golden items of a run, which a caller gives.
@@ -25,6 +25,12 @@ def _model_names(spark: SparkSession, sf: str) -> list[str]:
     return [r[0] for r in models(spark, sf).select("model_name").distinct().orderBy("model_name").collect()]  # one per model
 
 
+def month_answers(spark: SparkSession, sf: str, month: str = "2025-02") -> DataFrame:
+    """Answers of one month's partition per model."""
+    rows = read_where(spark, f"{sf}/llm_answer.parquet", {"dm": month}, "answer_content is not null")
+    return rows.groupBy("model_name").agg(F.count("*").alias("answers"))
+
+
 def collection_run(spark: SparkSession, sf: str) -> DataFrame:
     """Every valid query answered by every model through the stub, failures tried twice, per model and outcome."""
     queries = pool(spark, sf).where("raw_query is not null").select("query_id", "raw_query")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.text import CJK, SLICES, is_invalid_query, rough_tokens, slice_tags
 from plumbline.operators.categories import excluded, match_categories, subdivided
 from plumbline.operators.components import components, mark_duplicates
-from plumbline.operators.evalset import exact_duplicates, hamilton, rejected_by, replace_rejected, score_and_rank, select_per_pool, select_set
+from plumbline.operators.evalset import UNCLASSIFIED, exact_duplicates, hamilton, rejected_by, relevant, replace_rejected, rewritten, score_and_rank, select_per_pool, select_set
 from plumbline.operators.neighbours import candidate_edges, nearest, verified_edges
 from plumbline.session import Scratch
 from plumbline.sources.tables import current_rows, table
@@ -41,6 +41,13 @@ def deduplicated_folded(spark: SparkSession, sf: str) -> DataFrame:
     return exact_duplicates(pool(spark, sf), "query_id", "raw_query", fold=True).select("query_id", "raw_query")
 
 
+def prepared_queries(spark: SparkSession, sf: str) -> DataFrame:
+    """Queries tidied by a writer and judged, both by rules in place of models: single blanks, and something asked."""
+    tidy = rewritten(pool(spark, sf), "raw_query", lambda t: F.trim(F.regexp_replace(t, r"[ \t]+", " ")))
+    judged = relevant(tidy, "raw_query", lambda t: F.when(F.char_length(t) < 12, t.rlike("[?？]")))
+    return judged.select("query_id", "raw_query", "raw_query_original", "is_relevant")
+
+
 def invalid_queries(spark: SparkSession, sf: str) -> DataFrame:
     """Queries dropped unread."""
     return pool(spark, sf).where(is_invalid_query(F.col("raw_query"))).select("query_id", "raw_query")
@@ -183,11 +190,14 @@ def replaced_selection(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def selection_details(spark: SparkSession, sf: str) -> DataFrame:
-    """Every query with its status and, where selected, its rank and reason; -1 and false elsewhere."""
+    """Every query with its status and, where selected, its rank and reason; -1 and false elsewhere. Duplicates and
+    irrelevant queries have no category."""
     marked = Scratch(spark, "marked").save(_marked(spark, sf))
     chosen = selection(spark, sf).select("query_id", "represent_rank", "reason")
     rows = marked.join(F.broadcast(chosen), "query_id", "left").withColumn("selected", F.col("reason").isNotNull()).fillna({"represent_rank": -1})
-    kept = F.when(F.col("status") == "duplicate", "not_classified").otherwise(F.col("category"))
+    status = F.when(F.col("status") == "duplicate", "duplicate").when(F.col("is_relevant"), "relevant").otherwise("irrelevant")
+    rows = relevant(rows, "raw_query").withColumn("status", status)
+    kept = F.when(F.col("status") != "relevant", UNCLASSIFIED).otherwise(F.col("category"))
     return rows.select("query_id", "canonical_id", "status", kept.alias("category"), "represent_rank", "selected", "reason")
 
 

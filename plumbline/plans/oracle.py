@@ -604,8 +604,16 @@ def oracle_sql() -> dict[str, str]:
         "g14_slice_coverage": f"""WITH RECURSIVE {CANDIDATES}, t AS (SELECT raw_query, unnest({TAGS}) AS slice FROM candidates)
             SELECT slice, count(*) AS queries, sum({_tokens("raw_query")})::BIGINT AS tokens FROM t GROUP BY slice""",
         "g18_selection_details": f"""WITH RECURSIVE {CANDIDATES}, {PICKED}
-            SELECT t.query_id, canonical_id, status, CASE status WHEN 'duplicate' THEN 'not_classified' ELSE t.category END AS category,
+            SELECT t.query_id, canonical_id, CASE WHEN status = 'duplicate' THEN 'duplicate' WHEN {INVALID} THEN 'irrelevant' ELSE 'relevant' END AS status,
+              CASE WHEN status = 'duplicate' OR {INVALID} THEN '不参与分类' ELSE t.category END AS category,
               coalesce(p.represent_rank, -1) AS represent_rank, p.query_id IS NOT NULL AS selected, reason FROM told t LEFT JOIN picked p USING (query_id)""",
+        "g04_prepared_queries": f"""WITH {POOL}, tidied AS (SELECT query_id, raw_query AS raw_query_original, trim(regexp_replace(raw_query, '[ \\t]+', ' ', 'g'), ' ') AS raw_query FROM pool)
+            SELECT query_id, raw_query, raw_query_original, NOT {INVALID} AND (coalesce(length(raw_query), 0) >= 12 OR coalesce(regexp_matches(raw_query, '[?？]'), true)) AS is_relevant FROM tidied""",
+        "s02_month_answers": "SELECT model_name, count(*) AS answers FROM llm_answer WHERE dm = '2025-02' AND answer_content IS NOT NULL GROUP BY model_name",
+        "c01_collection_run": f"""WITH {POOL}, names AS (SELECT DISTINCT max(model_name) AS model FROM llm_models WHERE dt = (SELECT max(dt) FROM llm_models) GROUP BY id),
+            tried AS (SELECT model, md5(raw_query || model) LIKE '0%' AS lost, md5(raw_query || ' ' || model) LIKE '0%' AS lost_again FROM pool, names WHERE raw_query IS NOT NULL)
+            SELECT model, 1 AS attempts, count(*) AS answered, 0 AS failed FROM tried WHERE NOT lost GROUP BY model
+            UNION ALL SELECT model, 2, count(*) FILTER (WHERE NOT lost_again), count(*) FILTER (WHERE lost_again) FROM tried WHERE lost GROUP BY model""",
         "g19_rejected": rf"""WITH RECURSIVE {CANDIDATES}, {PICKED},
             r AS (SELECT p.query_id, array_to_string(list_filter([CASE WHEN length(raw_query) < 20 THEN 'short' END, CASE WHEN NOT regexp_matches(raw_query, '[0-9]') THEN 'no_number' END,
               CASE WHEN regexp_matches(raw_query, '[=＝]|^\s*\{{') THEN 'fields' END], lambda x: x IS NOT NULL), ',') AS broken FROM picked p JOIN pool USING (query_id))

@@ -38,12 +38,12 @@ def game_balance(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def bootstrap(spark: SparkSession, sf: str) -> DataFrame:
-    """Strengths over all dimensions and games with 95 % bootstrap intervals."""
+    """Strengths over all dimensions and games with 95 % bootstrap intervals of 1,000 replicates."""
     votes = both_sides(cast_votes(spark, sf).where("is_golden = 0 and winner_id is not null")).where("position = 'left' and model is not null and opponent is not null")
     counts = votes.groupBy(F.col("model").alias("row_model"), F.col("opponent").alias("col_model")).agg(
         F.sum("won").alias("wins"), F.count_if(F.col("winner_id") == F.col("answer_right")).alias("losses"), F.count("*").alias("matches")
     )
-    return bootstrap_intervals(counts)
+    return bootstrap_intervals(counts, 1_000)
 
 
 def winrate_differences(spark: SparkSession, sf: str) -> DataFrame:

@@ -48,6 +48,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "g02_exact_dedup": evalset.deduplicated,
         "g02_folded_dedup": evalset.deduplicated_folded,
         "g03_invalid_queries": evalset.invalid_queries,
+        "g04_prepared_queries": evalset.prepared_queries,
         "g06_neighbours": evalset.vector_neighbours,
         "g06_edges": evalset.similar_edges,
         "g07_confirmed_edges": evalset.confirmed_edges,
@@ -66,6 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "g19_rejected": evalset.rejected_queries,
         "g19_replaced_selection": evalset.replaced_selection,
         "g21_run_summary": evalset.run_summary,
+        "s02_month_answers": collecting.month_answers,
         "c01_collection_run": collecting.collection_run,
         "c04_cleaned_answers": collecting.cleaned_answers,
         "c04_answer_metadata": collecting.answer_metadata,

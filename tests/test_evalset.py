@@ -4,7 +4,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from plumbline.operators.categories import best_category, classify, excluded, match_categories, subdivided
-from plumbline.operators.evalset import Selection, exact_duplicates, hamilton, rejected_by, replace_rejected, score_and_rank, seats_of, select_per_pool, select_set, slice_targets
+from plumbline.operators.evalset import Selection, exact_duplicates, hamilton, rejected_by, relevant, replace_rejected, rewritten, score_and_rank, seats_of, select_per_pool, select_set, slice_targets
 from plumbline.operators.components import components, mark_duplicates
 from plumbline.operators.neighbours import candidate_edges, nearest, verified_edges
 from plumbline.operators.numbering import numbered, report
@@ -184,3 +184,13 @@ def test_nearest_among_vectors_of_each_length(spark):
     df = spark.createDataFrame(rows, "id long, v array<double>").coalesce(1)
     got = nearest(df, "id", "v", df.where("id in (0, 10)"), k=2).orderBy("query_id", "place").collect()
     assert [(r.query_id, r.neighbour_id) for r in got] == [(0, 1), (0, 2), (10, 11), (10, 12)]
+
+
+def test_injected_judges_and_writers(spark):
+    df = spark.createDataFrame([(1, "How do I win?"), (2, "??"), (3, "Where is the mill"), (4, None)], "id int, t string")
+    assert [r.is_relevant for r in relevant(df, "t").orderBy("id").collect()] == [True, False, True, False]
+    judged = relevant(df, "t", lambda t: F.when(t.contains("mill"), False)).orderBy("id").collect()
+    assert [r.is_relevant for r in judged] == [True, False, False, False]
+    put = rewritten(df, "t", lambda t: F.when(t.contains("win"), F.upper(t))).orderBy("id").collect()
+    assert [(r.t, r.t_original) for r in put] == [("HOW DO I WIN?", "How do I win?"), ("??", "??"), ("Where is the mill", "Where is the mill"), (None, None)]
+    assert [r.t for r in rewritten(df, "t").orderBy("id").collect()] == [r.t for r in df.orderBy("id").collect()]
