@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbline.llm.chains import mixing_shares, stationary
 from plumbline.llm.groups import linked_groups
 from plumbline.session import Scratch
 from plumbline.sources.tables import BROADCAST_ROWS, bounded
@@ -26,6 +27,7 @@ def global_ranking(
     tolerance: float = 1e-12,
     iterations: int = 10_000,
     dense_items: int = 2_000,
+    task_pairs: int = 3_000_000,
     sparse_iterations: int = 2_000,
     history: int = 6,
 ) -> DataFrame:
@@ -39,9 +41,10 @@ def global_ranking(
 
     Results are summed to one row per ordered pair first. A group of up to ``dense_items`` items is then
     solved on its matrix in one task (at most its square of rows), which is squared in each iteration;
-    larger groups by accelerated iteration over the pairs, tables being written between iterations. Both
+    one of up to ``task_pairs`` pairs in one task on its pairs, by cycles over ever larger clusters of
+    items; larger groups by accelerated iteration over the pairs, tables being written between iterations. All
     go on until a step moves less than ``tolerance`` of the probability, and raise if it still moves more
-    after ``iterations`` or ``sparse_iterations``."""
+    after ``iterations`` (or ``sparse_iterations``); the last way alone needs items that mix well."""
     spark = results.sparkSession
     scratch = Scratch(spark, "ranking")
     rows = results.select(
@@ -50,7 +53,8 @@ def global_ranking(
     both = rows.select("g", F.inline(F.array(F.struct(F.col("a").alias("i"), F.col("b").alias("j"), (F.col("x") * F.col("w")).alias("won"), F.col("w").alias("n")), F.struct(F.col("b").alias("i"), F.col("a").alias("j"), ((1 - F.col("x")) * F.col("w")).alias("won"), F.col("w").alias("n")))))
     pairs = both.groupBy("g", "i", "j").agg(F.sum("won").alias("won"), F.sum("n").alias("n"))
     pairs = scratch.save(pairs)
-    sizes = scratch.save(pairs.groupBy("g").agg(F.countDistinct("i").alias("items")))
+    sizes = scratch.save(pairs.groupBy("g").agg(F.countDistinct("i").alias("items"), F.count("*").alias("pairs")))
+    dense, fits = F.col("items") <= dense_items, F.col("pairs") <= task_pairs
     totals = pairs.groupBy("g", "i").agg(F.sum("n").alias("comparisons"), (F.sum("won") / F.sum("n")).alias("win_share"))
     kind = pairs.schema["i"].dataType.simpleString()
     g_kind = pairs.schema["g"].dataType.simpleString()
@@ -59,9 +63,12 @@ def global_ranking(
         names, at = np.unique(pdf["i"].to_numpy(), return_inverse=True)
         to = np.searchsorted(names, pdf["j"].to_numpy())
         n = len(names)
-        moves = np.zeros((n, n))
         # the rate at which j beat i
-        moves[at, to] = (pdf["n"] - pdf["won"] + smoothing) / (pdf["n"] + 2 * smoothing)
+        rate = ((pdf["n"] - pdf["won"] + smoothing) / (pdf["n"] + 2 * smoothing)).to_numpy()
+        if n > dense_items:
+            return pd.DataFrame({"g": pdf["g"].iloc[0], "i": names, "p": stationary(at, to, rate, n, tolerance, iterations), "items": n})
+        moves = np.zeros((n, n))
+        moves[at, to] = rate
         moves /= moves.sum(1).max()
         moves[np.diag_indices(n)] = 1 - moves.sum(1)
         p, many = np.full(n, 1 / n), moves
@@ -76,9 +83,9 @@ def global_ranking(
             raise RuntimeError(f"the strengths of {n} items still move by {moved} after {iterations} iterations")
         return pd.DataFrame({"g": pdf["g"].iloc[0], "i": names, "p": p / p.sum(), "items": n})
 
-    small = _join(pairs, bounded(sizes.where(F.col("items") <= dense_items)), "g").drop("items")
+    small = _join(pairs, bounded(sizes.where(dense | fits).select("g", "items")), "g").drop("items")
     chain = small.groupBy("g").applyInPandas(solve, f"g {g_kind}, i {kind}, p double, items bigint")
-    large = sizes.where(F.col("items") > dense_items)
+    large = sizes.where(~dense & ~fits).select("g", "items")
     if not large.isEmpty():
         chain = chain.unionByName(_sparse(scratch, pairs, large, smoothing, tolerance, sparse_iterations, history))
     strength = F.log(F.greatest(F.col("p") * F.col("items"), F.lit(1e-300)))
@@ -137,7 +144,11 @@ def _sparse(scratch: Scratch, pairs: DataFrame, large: DataFrame, smoothing: flo
         moved = max(r["moved"] for r in sums)
         if moved < tolerance:
             break
-        shares = spark.createDataFrame([(r["gid"], _shares(r["products"], at, n)) for r in sums], "gid bigint, shares array<double>")
+        grams = {r["gid"]: np.zeros((n, n)) for r in sums}
+        for r in sums:
+            for (a, b), x in zip(at, r["products"]):
+                grams[r["gid"]][a, b] = grams[r["gid"]][b, a] = x
+        shares = spark.createDataFrame([(g, mixing_shares(gram).tolist()) for g, gram in grams.items()], "gid bigint, shares array<double>")
         mixed = F.aggregate(F.zip_with("told", "shares", lambda x, s: x * s), F.lit(0.0), lambda a, x: a + x)
         # A mix may leave the positive numbers; a quarter of the plain step is the least.
         y = done.join(F.broadcast(shares) if len(sums) <= BROADCAST_ROWS else shares, "gid").select("id", "gid", F.greatest(mixed, F.col("told")[0] / 4).alias("y"), "told", "off")
@@ -149,16 +160,3 @@ def _sparse(scratch: Scratch, pairs: DataFrame, large: DataFrame, smoothing: flo
     found = scratch.save(found.select("g", "i", "items", "group_id", (F.col("y") / F.col("out")).alias("p")))
     whole = found.groupBy("group_id").agg(F.sum("p").alias("whole"), F.count("*").alias("own"))
     return found.join(whole, "group_id").select("g", "i", (F.col("p") / F.col("whole") * F.col("own") / F.col("items")).alias("p"), "items")
-
-
-def _shares(products: list[float], at: list[tuple[int, int]], n: int) -> list[float]:
-    """Shares, adding up to 1, of n steps whose mix moves least, from the products of their moves."""
-    gram = np.zeros((n, n))
-    for (a, b), x in zip(at, products):
-        gram[a, b] = gram[b, a] = x
-    scale = np.sqrt(np.diag(gram))
-    if not scale.all():
-        return [1.0] + [0.0] * (n - 1)
-    x = np.linalg.solve(gram / np.outer(scale, scale) + 1e-12 * np.eye(n), 1 / scale) / scale
-    x = x / x.sum()
-    return x.tolist() if np.isfinite(x).all() and np.abs(x).sum() < 1e4 else [1.0] + [0.0] * (n - 1)

@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 
+from plumbline.llm.chains import stationary
 from plumbline.llm.ranking import global_ranking
 
 SCHEMA = "dim string, l long, r long, score double, n long"
@@ -70,13 +71,50 @@ def test_sparse_groups_converge_despite_a_hub(spark):
         balance[0] = 1
         p = np.linalg.solve(balance, np.eye(len(part))[0])
         expected |= {items[i]: math.log(x * len(part)) for i, x in zip(part, p)}
-    for options in ({"dense_items": 1}, {}):
+    for options in ({"dense_items": 1, "task_pairs": 1}, {"dense_items": 1}, {}):
         got = {r["item"]: r["strength"] for r in ranked(spark, rows, **options)[1].collect()}
         assert got == pytest.approx(expected, abs=1e-8)
 
 
-@pytest.mark.parametrize("options", [{"dense_items": 1, "sparse_iterations": 3}, {"iterations": 1}])
+@pytest.mark.parametrize("options", [{"dense_items": 1, "task_pairs": 1, "sparse_iterations": 3}, {"iterations": 1}, {"dense_items": 1, "iterations": 1, "tolerance": 0.0}])
 def test_unmet_tolerance_is_an_error(spark, options):
     rows = planted({i: -0.5 * i for i in range(12)}, {(a, a + 1): 50 for a in range(11)})
     with pytest.raises(Exception, match="still move"):
         ranked(spark, rows, **options)
+
+
+@pytest.mark.parametrize("kind", ["row", "ring", "random"])
+def test_every_way_agrees_on_items_with_three_neighbours(kind):
+    """2,100 items, which mix slowly in a row or a ring, against the solved balance."""
+    n, rng = 2_100, np.random.default_rng(7)
+    a = np.repeat(np.arange(n), 3)
+    b = rng.integers(0, n, 3 * n) if kind == "random" else a + np.tile([1, 2, 3], n)
+    b = b % n if kind == "ring" else b
+    pairs = sorted({(min(x, y), max(x, y)) for x, y in zip(a.tolist(), b.tolist()) if x != y and y < n})
+    i, j = np.array(pairs).T
+    met = rng.integers(1, 6, len(i))
+    won = rng.binomial(met, 0.5)
+    i, j, won, met = np.r_[i, j], np.r_[j, i], np.r_[won, met - won], np.r_[met, met]
+    rate = (met - won + 1) / (met + 2)
+    p = stationary(i, j, rate, n, 1e-12, 2_000)
+    balance = np.zeros((n, n))
+    balance[i, j] = rate
+    balance = (balance - np.diag(balance.sum(1))).T
+    balance[0] = 1
+    wanted = np.linalg.solve(balance, np.eye(n)[0])
+    assert np.abs(np.log(p) - np.log(wanted)).max() < 1e-6
+    assert (np.argsort(-p) == np.argsort(-wanted)).all()
+
+
+def test_parts_of_a_chain_in_memory_keep_their_share():
+    rng = np.random.default_rng(1)
+    a, b = rng.integers(0, 500, 2_000), rng.integers(0, 500, 2_000)
+    i, j = np.r_[a, a + 500], np.r_[b, b + 500]
+    keep = i != j
+    i, j = i[keep], j[keep]
+    used, at = np.unique(np.r_[i, j], return_inverse=True)
+    i, j = at[: len(i)], at[len(i) :]
+    p = stationary(np.r_[i, j], np.r_[j, i], np.ones(2 * len(i)), len(used), 1e-12, 2_000)
+    degree = np.bincount(np.r_[i, j])
+    first = used < 500
+    assert np.allclose(p, 1 / len(used), atol=1e-9) and degree.std() > 1 and first.sum() > 400
