@@ -55,7 +55,7 @@ def test_p1_users_name_the_majority_less_often(spark):
     rows = connection(MEDIUM).sql(f"""{VOTES},
         people AS (SELECT id, user_id FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY dt DESC) AS place FROM eval_sessions) WHERE place = 1 AND user_id IS NOT NULL),
         v AS (SELECT * FROM votes JOIN people ON id = eval_session_id WHERE golden = 0),
-        best AS (SELECT content_id, dim, winner_id FROM v GROUP BY ALL QUALIFY row_number() OVER (PARTITION BY content_id, dim ORDER BY count(*) DESC, winner_id) = 1)
+        best AS (SELECT content_id, dim, winner_id FROM v GROUP BY content_id, dim, winner_id QUALIFY row_number() OVER (PARTITION BY content_id, dim ORDER BY count(*) DESC, winner_id) = 1)
         SELECT user_id, count(*) AS n, avg((v.winner_id = best.winner_id)::INT) AS share FROM v JOIN best USING (content_id, dim) GROUP BY user_id HAVING count(*) >= 30""").df()
     found = {r.user_id for r in Q["p1_found"](spark, MEDIUM).collect()}
     assert found <= set(rows.user_id) and 0 < len(found) < len(rows)
