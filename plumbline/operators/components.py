@@ -21,12 +21,11 @@ def components(edges: DataFrame, a: str, b: str, max_rounds: int = 100) -> DataF
         near = both.join(labels.withColumnsRenamed({"x": "y"}), "y").groupBy("x").agg(F.min("label").alias("near"))
         far = labels.select(F.col("x").alias("label"), F.col("label").alias("far"))
         moved = labels.join(far, "label").join(near, "x").select("x", F.least("far", "near", "label").alias("new"), "label")
-        moved = scratch.save(moved)
-        over = moved.where("new != label").isEmpty()
+        moved, counts = scratch.save_counted(moved, n=F.count_if(F.col("new") != F.col("label")))
         scratch.drop(labels)
         labels = moved.select("x", F.col("new").alias("label"))
         labels._scratch_path = moved._scratch_path
-        if over:
+        if not counts["n"]:
             return labels.select(F.col("x").alias("id"), F.col("label").alias("component"))
     raise RuntimeError(f"labels still move after {max_rounds} rounds")
 
