@@ -5,8 +5,9 @@ step derives each item's label posterior from its votes and the matrices, the ma
 matrices from the posteriors; rows are smoothed towards the matrix of all annotators together.
 
 Votes are packed once: one row per item with its votes as integers (annotator * labels + label).
-An iteration is then one pass over these rows. It needs the matrices, which are broadcast as
-annotators x labels^2 doubles. Items with more than ``hot`` votes aren't packed: their votes stay single
+An iteration is then one pass over these rows. It needs the matrices; the driver holds and broadcasts the packed
+sums that they come from, once in single precision, and tasks make annotators x labels^2 doubles of them. Names stay
+in tables, and what is told of annotators is made in tasks, too. Items with more than ``hot`` votes aren't packed: their votes stay single
 rows in any partition, and their posteriors are summed from partial sums and broadcast. Where matrices,
 annotators or hot items are more than the driver and the executors are to hold (``broadcast_mb``,
 MOST_PEOPLE, MOST_HOT), the same steps run as joins and aggregations of DataFrames, with the same result."""
@@ -21,9 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.operators.numbering import numbered
 from plumbline.session import Scratch
+from plumbline.sources.tables import bounded
 
-#: Annotators whose names, and items with very many votes whose posteriors, the driver holds at most.
+#: Annotators whose sums, and items with very many votes whose posteriors, the driver holds at most.
 MOST_PEOPLE, MOST_HOT = 1_000_000, 20_000
 
 
@@ -124,11 +127,8 @@ def agreement_of(items: DataFrame, by: list[str] | None = None) -> DataFrame:
     )
 
 
-def _smooth(counts: np.ndarray, smoothing: float) -> np.ndarray:
-    """Row-wise probabilities of each annotator's counts (annotators x right x named)."""
-    k = counts.shape[1]
-    pooled = counts.sum(0) + 1.0 / k
-    pooled /= pooled.sum(1, keepdims=True)
+def _smooth(counts: np.ndarray, pooled: np.ndarray, smoothing: float) -> np.ndarray:
+    """Row-wise probabilities of each annotator's counts (annotators x right x named); pooled: those of all together."""
     rows = counts + smoothing * pooled
     return rows / rows.sum(2, keepdims=True)
 
@@ -150,13 +150,15 @@ def _posteriors(logs: np.ndarray) -> np.ndarray:
     return p / p.sum(1, keepdims=True)
 
 
-def _sums(who: np.ndarray, named: np.ndarray, weight: np.ndarray, k: int, people: int) -> np.ndarray:
-    """Posterior weight by annotator, right label and named label."""
+def _add(total: np.ndarray, who: np.ndarray, named: np.ndarray, weight: np.ndarray) -> None:
+    """Add posterior weight to the total by annotator, right label and named label."""
+    people, k = total.shape[:2]
     at = who * k + named
-    return np.stack([np.bincount(at, weight[:, right], people * k).reshape(people, k) for right in range(k)], 1)
+    for right in range(k):
+        total[:, right] += np.bincount(at, weight[:, right], people * k).reshape(people, k)
 
 
-#: Annotators whose sums are packed in one row.
+#: Annotators whose sums are packed in one row, and made to matrices at once.
 BLOCK = 4096
 
 
@@ -176,9 +178,8 @@ def _unpack(packed: bytes, k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(packed, np.int32, n), np.frombuffer(packed, np.float32, offset=4 * n).reshape(n, k - 1, k)
 
 
-def _summed(parts: DataFrame, totals: np.ndarray) -> np.ndarray:
-    """The sums of all annotators (annotators x right x named) from packed partial ones, added up per block in tasks."""
-    size, k = totals.shape
+def _summed(parts: DataFrame, size: int, k: int) -> np.ndarray:
+    """The sums of all annotators (annotators x (k - 1) x k) from packed partial ones, added up per block in tasks."""
 
     def add(table: pa.Table) -> pa.Table:
         sums = np.zeros((BLOCK, k, k))
@@ -189,22 +190,75 @@ def _summed(parts: DataFrame, totals: np.ndarray) -> np.ndarray:
         batch = _pack(sums)
         return pa.table([pa.array([table.column("block")[0].as_py()] * batch.num_rows, pa.int32()), batch.column(1)], names=["block", "packed"])
 
-    found = np.zeros((size, k, k))
+    found = np.zeros((size, k - 1, k), np.float32)
     if k > 1:
         for row in parts.groupBy("block").applyInArrow(add, "block int, packed binary").collect():  # a row per block
             at, values = _unpack(row["packed"], k)
-            found[row["block"] * BLOCK + at, :-1] = values
+            found[row["block"] * BLOCK + at] = values
+    return found
+
+
+def _totals(counted: DataFrame, size: int, k: int) -> np.ndarray:
+    """Votes by annotator and named label from rows of (who, named, n), packed per block in tasks."""
+
+    def pack(table: pa.Table) -> pa.Table:
+        who, named, n = (table.column(c).to_numpy() for c in ("who", "named", "n"))
+        votes = np.zeros((BLOCK, k))
+        votes[who % BLOCK, named] = n
+        return pa.table([pa.array([int(who[0]) // BLOCK], pa.int32()), pa.array([votes.tobytes()], pa.binary())], names=["block", "packed"])
+
+    found = np.zeros((size, k))
+    blocks = counted.groupBy(F.expr(f"who div {BLOCK}")).applyInArrow(pack, "block int, packed binary")
+    for row in blocks.collect():
+        part = found[row["block"] * BLOCK : (row["block"] + 1) * BLOCK]
+        part[:] = np.frombuffer(row["packed"]).reshape(BLOCK, k)[: len(part)]
+    return found
+
+
+def _whole(sums: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    """Sums of annotators with those of the last right label (annotators x right x named)."""
+    found = np.empty((*totals.shape, totals.shape[1]))
+    found[:, :-1] = sums
     found[:, -1] = np.maximum(totals - found[:, :-1].sum(1), 0)
     return found
 
 
+def _shares(counts: np.ndarray) -> np.ndarray:
+    """Expected share of right votes of each annotator."""
+    return np.trace(counts, axis1=1, axis2=2) / np.maximum(counts.sum((1, 2)), 1)
+
+
+def _told(sums: np.ndarray, totals: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Probabilities of all annotators together, logarithms of the labels' shares, and each annotator's share of right votes."""
+    size, k = totals.shape
+    grid, right = np.zeros((k, k)), np.zeros(size)
+    for at in range(0, size, BLOCK):
+        counts = _whole(sums[at : at + BLOCK], totals[at : at + BLOCK])
+        grid += counts.sum(0)
+        right[at : at + BLOCK] = _shares(counts)
+    pooled, prior = grid + 1.0 / k, grid.sum(1) + 1.0
+    return pooled / pooled.sum(1, keepdims=True), np.log(prior / prior.sum()), right
+
+
+def _logs(state: tuple | None, totals: np.ndarray, smoothing: float) -> tuple[np.ndarray, np.ndarray] | None:
+    """Logarithms of the matrices and of the labels' shares, from a state (sums, pooled, prior)."""
+    if state is None:
+        return None
+    sums, pooled, prior = state
+    size, k = totals.shape
+    logs = np.empty((size, k, k))
+    for at in range(0, size, BLOCK):
+        logs[at : at + BLOCK] = np.log(_smooth(_whole(sums[at : at + BLOCK], totals[at : at + BLOCK]), pooled, smoothing))
+    return logs, prior
+
+
 def _packed(spark, scratch, rows, people, keys, labels, iterations, tolerance, smoothing, hot):
     k = max(1, len(labels))
-    known = people.select("_who").orderBy("_who").toPandas()["_who"]
-    size = len(known)
-    index = spark.createDataFrame(known.to_frame().assign(who=np.arange(size, dtype=np.int32)), f"_who {people.schema['_who'].dataType.simpleString()}, who int")
-    coded = rows.join(F.broadcast(index), "_who").select(*keys, "who", _coded("_label", labels).alias("named"), _coded("_known", labels).alias("known"))
-    counts = coded.groupBy(*keys).agg(F.count("*").alias("n"), F.max("known").alias("known")).where(F.col("n") > hot).drop("n")
+    size = people.count()
+    index = bounded(numbered(people.select("_who"), "_who", out="who").select("_who", (F.col("who") - 1).cast("int").alias("who")))
+    named = rows.select(*keys, "_who", _coded("_label", labels).alias("named"), _coded("_known", labels).alias("known"))
+    coded = named.join(index, "_who").select(*keys, "who", "named", "known")
+    counts = named.groupBy(*keys).agg(F.count("*").alias("n"), F.max("known").alias("known")).where(F.col("n") > hot).drop("n")
     hot_items = scratch.save(counts)
     hot_rows = hot_items.orderBy(*keys).collect()  # at most MOST_HOT rows
     hot_keys, hot_known = [r[:-1] for r in hot_rows], np.array([r["known"] for r in hot_rows], int)
@@ -222,9 +276,9 @@ def _packed(spark, scratch, rows, people, keys, labels, iterations, tolerance, s
     packed = packed.coalesce(tasks)
     n_hot = len(hot_keys)
     schema = "block int, packed binary"
-    totals = np.zeros((size, k))
-    counted = coded.groupBy("who", "named").agg(F.count("*").alias("n")).toPandas()  # a row per annotator and label
-    totals[counted["who"].to_numpy(int), counted["named"].to_numpy(int)] = counted["n"].to_numpy(float)
+    counted = named.groupBy("_who", "named").agg(F.count("*").alias("n")).join(index, "_who").select("who", "named", "n")
+    totals = _totals(counted, size, k)
+    held = spark.sparkContext.broadcast(totals)
 
     def unpack(batch):
         votes = batch.column("votes")
@@ -245,38 +299,36 @@ def _packed(spark, scratch, rows, people, keys, labels, iterations, tolerance, s
             logs[:, right] += np.bincount(at, terms[:, right], n)
         return _fixed(_posteriors(logs), sure), shares
 
-    state, accuracy, done, hot_post, counts_now = None, None, 0, None, np.zeros((size, k, k))
+    state, accuracy, done, hot_post = None, None, 0, None
     for done in range(1, iterations + 1):
         shipped = spark.sparkContext.broadcast((state, hot_post))
         if hot_votes is not None:
-            hot_post = _hot_posteriors(hot_votes, shipped, hot_known, k)
-            shipped.unpersist()
+            hot_post = _hot_posteriors(hot_votes, shipped, held, state, hot_known, k, smoothing)
+            shipped.destroy()
             shipped = spark.sparkContext.broadcast((state, hot_post))
 
         def pass_cold(batches, shipped=shipped):
-            state, total = shipped.value[0], np.zeros((size, k, k))
+            state, total = _logs(shipped.value[0], held.value, smoothing), np.zeros((size, k, k))
             for batch in batches:
                 at, who, named, n, sure = unpack(batch)
                 post, _ = infer(at, who, named, n, sure, state)
-                total += _sums(who, named, post[at], k, size)
+                _add(total, who, named, post[at])
             yield _pack(total)
 
         def pass_hot(batches, shipped=shipped):
             post, total = shipped.value[1], np.zeros((size, k, k))
             for batch in batches:
                 item, who, named = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("item", "who", "named"))
-                total += _sums(who, named, post[item], k, size)
+                _add(total, who, named, post[item])
             yield _pack(total)
 
         parts = packed.select("votes", "known").mapInArrow(pass_cold, schema)
         if hot_votes is not None:
             parts = parts.union(hot_votes.mapInArrow(pass_hot, schema))
-        counts_now = _summed(parts, totals)
-        matrices = _smooth(counts_now, smoothing)
-        prior = counts_now.sum((0, 2)) + 1.0
-        state = (np.log(matrices), np.log(prior / prior.sum()))
-        now = np.trace(counts_now, axis1=1, axis2=2) / np.maximum(counts_now.sum((1, 2)), 1)
-        shipped.unpersist()
+        sums = _summed(parts, size, k)
+        pooled, prior, now = _told(sums, totals)
+        state = (sums, pooled, prior)
+        shipped.destroy()  # else the driver keeps those of all iterations
         if accuracy is not None and size and np.abs(now - accuracy).max() < tolerance:
             break
         accuracy = now
@@ -284,7 +336,7 @@ def _packed(spark, scratch, rows, people, keys, labels, iterations, tolerance, s
     out = ", ".join(f"{c} {packed.schema[c].dataType.simpleString()}" for c in keys) + ", posterior array<double>, counts array<bigint>"
 
     def label_cold(batches):
-        state = shipped.value[0]
+        state = _logs(shipped.value[0], held.value, smoothing)
         for batch in batches:
             at, who, named, n, sure = unpack(batch)
             post, shares = infer(at, who, named, n, sure, state)
@@ -294,32 +346,36 @@ def _packed(spark, scratch, rows, people, keys, labels, iterations, tolerance, s
 
     posteriors = packed.mapInArrow(label_cold, out)
     if hot_votes is not None:
-        post = _hot_posteriors(hot_votes, shipped, hot_known, k)
+        post = _hot_posteriors(hot_votes, shipped, held, state, hot_known, k, smoothing)
         shares = np.zeros((n_hot, k), np.int64)
         for r in hot_votes.groupBy("item", "named").count().collect():
             shares[r["item"], r["named"]] = r["count"]
         extra = [(*r, post[i].tolist(), shares[i].tolist()) for i, r in enumerate(hot_keys)]
         posteriors = posteriors.union(spark.createDataFrame(extra, posteriors.schema))
-    table = index.toPandas() if size else None
-    people_rows = []
-    if size:
-        matrices = _smooth(counts_now, smoothing)
-        total = np.maximum(counts_now.sum((1, 2)), 1)
-        table["votes"] = totals.sum(1).astype(int)
-        table["accuracy"] = np.trace(counts_now, axis1=1, axis2=2) / total
-        table["matrix"] = [m.tolist() for m in matrices]
-        people_rows = table.drop(columns="who")
+
+    def describe(batches):
+        (sums, pooled, _), totals = shipped.value[0], held.value
+        for batch in batches:
+            who = batch.column("who").to_numpy()
+            counts = _whole(sums[who], totals[who])
+            matrix = pa.array(_smooth(counts, pooled, smoothing).ravel())
+            for n in (len(who) * k, len(who)):
+                matrix = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * k), matrix)
+            told = [pa.array(totals[who].sum(1).astype(np.int64)), pa.array(_shares(counts)), matrix]
+            yield pa.RecordBatch.from_arrays([batch.column("_who"), *told], names=["_who", "votes", "accuracy", "matrix"])
+
     kind = people.schema["_who"].dataType.simpleString()
-    annotators = spark.createDataFrame(people_rows, f"_who {kind}, votes bigint, accuracy double, matrix array<array<double>>")
+    annotators = index.mapInArrow(describe, f"_who {kind}, votes bigint, accuracy double, matrix array<array<double>>")
     return posteriors, annotators, done
 
 
-def _hot_posteriors(hot_votes, shipped, known, k):
-    """Posteriors of the items with very many votes: log-likelihoods summed within partitions first."""
+def _hot_posteriors(hot_votes, shipped, held, now, known, k, smoothing):
+    """Posteriors of the items with very many votes: log-likelihoods summed within partitions first. now: the state
+    that is shipped."""
     n_hot = len(known)
 
     def partial(batches):
-        state, total = shipped.value[0], np.zeros((n_hot, k))
+        state, total = _logs(shipped.value[0], held.value, smoothing), np.zeros((n_hot, k))
         for batch in batches:
             item, who, named = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("item", "who", "named"))
             if state is None:
@@ -334,8 +390,7 @@ def _hot_posteriors(hot_votes, shipped, known, k):
     sums = np.zeros((n_hot, k))
     for r in found:
         sums[r["item"], r["right"]] = r["x"]
-    state = shipped.value[0]
-    return _fixed(sums / np.maximum(sums.sum(1, keepdims=True), 1) if state is None else _posteriors(sums + state[1]), known)
+    return _fixed(sums / np.maximum(sums.sum(1, keepdims=True), 1) if now is None else _posteriors(sums + now[2]), known)
 
 
 def _joined(scratch, rows, people, keys, labels, iterations, tolerance, smoothing):

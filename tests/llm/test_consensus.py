@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -106,3 +107,18 @@ def test_known_labels_are_certain(spark, options):
     assert all(items[1000 + i].label == "R" and items[1000 + i].probability == 1 and items[1000 + i].votes == 14 for i in range(20))
     accuracy = {r.who: r.accuracy for r in found.annotators.collect()}
     assert max(accuracy[p] for p in range(10)) < min(accuracy[p] for p in range(10, 14))
+
+
+def test_the_driver_holds_few_bytes_an_annotator(spark):
+    """Packed sums and totals, but neither names nor matrices of annotators; their rows are made in tasks."""
+    n = 100_000
+    rows = spark.range(3 * n).selectExpr("id div 3 % 20000 as item", f"id % {n} as who", "element_at(array('D', 'L', 'R'), int(pmod(xxhash64(id), 3)) + 1) as label")
+    tracemalloc.start()
+    try:
+        found = consensus(rows, ["item"], "who", "label", iterations=2)
+        got = found.annotators.selectExpr("count(*)", "count(distinct who)", "sum(votes)", "max(abs(aggregate(flatten(matrix), 0d, (a, x) -> a + x) - 3)) < 1e-9").first()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert tuple(got) == (n, n, 3 * n, True)
+    assert peak < 200 * n
